@@ -170,16 +170,19 @@ class Fixture:
         )
 
 
-_sizes: dict[str, int] = {}
+_fixtures: dict[tuple[str, str], Fixture] = {}
 
 
 def fixture(spark: SparkSession, folder: str) -> Fixture:
-    """The fixture of a folder, with the session set up for the folder's size."""
-    session.configure(spark)
-    if folder not in _sizes:
-        _sizes[folder] = session.stored_bytes(spark, folder)
-    session.configure(spark, _sizes[folder])
-    return Fixture(spark, folder)
+    """The fixture of a folder, with the session set up for the folder's size.
+
+    Its tables are plans, not data. They are made once per session.
+    """
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _fixtures:
+        session.configure(spark, session.stored_bytes(spark, folder))
+        _fixtures[known] = Fixture(spark, folder)
+    return _fixtures[known]
 
 
 def with_views(sql: str, more: dict[str, str] | None = None) -> str:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import moment
 from wayfare.schemas import PAYMENT_COLUMNS, TRIP_COLUMNS
-from wayfare.session import broadcast_if_small
 
 DEFAULT_LOOKBACK_HOURS = 24
 
@@ -26,8 +25,11 @@ def recent(
 
 
 def trips_with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    """Trips with the names of both zones. A trip with an unknown or no zone is left out."""
-    zones = broadcast_if_small(zones.select("zone_id", "zone_name", "governorate"))
+    """Trips with the names of both zones. A trip with an unknown or no zone is left out.
+
+    Zones of known small size are broadcast. Larger ones are joined by sort and merge, where
+    adaptive execution splits the partition of a zone that most trips name.
+    """
     pickup = zones.select(
         F.col("zone_id").alias("pickup_zone_id"),
         F.col("zone_name").alias("pickup_zone_name"),
@@ -46,9 +48,7 @@ def trips_with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 def drivers_with_zones(drivers: DataFrame, zones: DataFrame) -> DataFrame:
     """Drivers with the zone they are registered in. A driver without a known zone is left out."""
-    home = broadcast_if_small(
-        zones.select(F.col("zone_id").alias("registered_zone"), "zone_name", "governorate")
-    )
+    home = zones.select(F.col("zone_id").alias("registered_zone"), "zone_name", "governorate")
     return drivers.join(home, "registered_zone").select(
         "driver_id", "full_name", "vehicle_type", "vehicle_plate", "rating", "active",
         "zone_name", "governorate",

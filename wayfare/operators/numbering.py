@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from wayfare.operators.joins import (
     BUCKET, BUCKET_BITS, NO_KEY, ROW_LIMIT, bucket_of, join_repeated_keys,
 )
-from wayfare.session import broadcast_if_small, materialise
+from wayfare.session import broadcast_if_small, materialise, materialise_with
 
 # Rows numbered by one window partition of a repeated key, as a power of two.
 CHUNK_BITS = 20
@@ -75,11 +75,9 @@ def plan_buckets(counts: DataFrame, row_limit: int = ROW_LIMIT) -> BucketPlan:
 
     The counts are written once; only their totals reach the driver.
     """
-    counts = materialise(counts)
-    totals = counts.agg(
-        F.count(F.lit(1)).alias("buckets"),
-        F.count_if(F.col("_load") > row_limit).alias("heavy"),
-    ).first()
+    counts, totals = materialise_with(
+        counts, buckets=F.count(F.lit(1)), heavy=F.count_if(F.col("_load") > row_limit)
+    )
     levels = () if totals["buckets"] <= _ONE_WINDOW_ROWS else _LEVEL_BITS
     heavy = None
     if totals["heavy"]:

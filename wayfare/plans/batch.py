@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfare import schemas
 from wayfare.operators import extract, health, marts, staging
+from wayfare.session import broadcast_if_small
 from wayfare.sources import targets
 from wayfare.sources.targets import ParquetTable, Table
 
@@ -71,15 +72,17 @@ def run_batch(
     `incremental=True` looks back to the start of a day and replaces only the days it covers,
     so earlier days stay in gold.
     """
+    # A database reports no table sizes, so the optimiser needs to be told that zones are few.
+    zones = broadcast_if_small(sources.zones)
     if incremental and lookback_hours is not None:
         start = as_of - timedelta(hours=lookback_hours)
         midnight = start.replace(hour=0, minute=0, second=0, microsecond=0)
         trips = sources.trips.filter(F.col("requested_at") >= extract.moment(midnight))
-        trips = extract.trips_with_zones(trips, sources.zones)
+        trips = extract.trips_with_zones(trips, zones)
     else:
-        trips = extract.extract_trips(sources.trips, sources.zones, as_of, lookback_hours)
+        trips = extract.extract_trips(sources.trips, zones, as_of, lookback_hours)
     payments = extract.extract_payments(sources.payments, as_of, lookback_hours)
-    drivers = extract.drivers_with_zones(sources.drivers, sources.zones)
+    drivers = extract.drivers_with_zones(sources.drivers, zones)
 
     payment_rows = _stage(payments, warehouse.stg_payments, targets.refresh_unless_empty)
     trip_rows = _stage(trips, warehouse.stg_trips, targets.full_refresh)

@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # One reduce partition per this many input bytes, up to a count the driver can still track.
@@ -15,6 +15,7 @@ MAX_SHUFFLE_PARTITIONS = 32_768
 # Beyond this input size read larger splits, so that map tasks stay in the hundred thousands.
 LARGE_INPUT_BYTES = 8 << 40
 LARGE_SPLIT = "512m"
+MAX_LISTING_TASKS = 10_000
 # A side is broadcast only after it was counted and found to hold no more rows than this.
 MAX_BROADCAST_ROWS = 200_000
 
@@ -39,6 +40,9 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     for name, value in _SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
+    # List stored partitions with a few folders per task, not with a task for each folder.
+    listers = min(4 * spark.sparkContext.defaultParallelism, MAX_LISTING_TASKS)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listers))
     wanted = min(math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION), MAX_SHUFFLE_PARTITIONS)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     present = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
@@ -77,6 +81,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise_with(df: DataFrame, **totals: Column) -> tuple[DataFrame, dict[str, int]]:
+    """As `materialise`, with aggregates over the rows taken while they are written."""
+    seen = Observation()
+    columns = [total.alias(name) for name, total in totals.items()]
+    return materialise(df.observe(seen, *columns)), seen.get
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark a lookup side for broadcast only if a bounded count shows that it is small.
 

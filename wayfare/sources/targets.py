@@ -22,7 +22,8 @@ class ParquetTable:
     partition_by: str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(self.path)
+        # A partition column would come last.
+        return spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
     def save(self, df: DataFrame, mode: str, only_touched_partitions: bool = False) -> None:
         writer = df.write.mode(mode)

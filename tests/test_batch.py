@@ -1,15 +1,18 @@
 """The batch run end to end: loads, look-back, incremental days, audit."""
 
+import json
 from collections import Counter
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare import __main__ as command
 from wayfare import registry, schemas
 from wayfare.fixtures import fixture
-from wayfare.operators import marts, staging
-from wayfare.plans.batch import Sources, Warehouse, run_batch
+from wayfare.functions import moment
+from wayfare.operators import extract, marts, staging
+from wayfare.plans.batch import Sources, Warehouse, run_batch, warehouse_counts
 from wayfare.session import shared_dir
 from wayfare.sources import targets
 from wayfare.sources.targets import ParquetTable
@@ -21,12 +24,18 @@ AS_OF = datetime(2001, 8, 1)
 @pytest.fixture(scope="module")
 def sources(spark):
     fx = fixture(spark, DATA)
+    # All trips within the 31 days up to AS_OF, so that gold has 31 folders.
+    day = F.expr("TIMESTAMP_NTZ '2001-07-01 00:00:00' + INTERVAL '1' DAY * CAST(user_id % 31 AS INT)")
+    tables = {name: fx[name] for name in ("drivers", "zones", "payments")}
+    tables["trips"] = fx.trips.withColumn(
+        "requested_at", day + (F.col("requested_at") - F.date_trunc("day", "requested_at"))
+    )
     # Stored once, as they would be in the source database.
     stored = {}
-    for name in ("trips", "drivers", "zones", "payments"):
+    for name, df in tables.items():
         path = shared_dir(spark)
-        fx[name].write.parquet(path)
-        stored[name] = spark.read.schema(fx[name].schema).parquet(path)
+        df.write.parquet(path)
+        stored[name] = spark.read.schema(df.schema).parquet(path)
     return Sources(**stored)
 
 
@@ -38,14 +47,15 @@ def test_full_load(spark, sources):
     warehouse = Warehouse.at(shared_dir(spark))
     audit = run_batch(spark, sources, warehouse, AS_OF, lookback_hours=None)
 
-    fx = fixture(spark, DATA)
     fact = warehouse.fct_trips.read(spark)
     assert fact.columns == schemas.FCT_TRIPS.names and len(fact.columns) == 25
-    wanted = registry.QUERIES["fct_trips"](spark, DATA)
-    assert rows_of(registry._comparable(fact).select(wanted.columns)) == rows_of(wanted)
+    trips = staging.clean_trips(extract.trips_with_zones(sources.trips, sources.zones))
+    wanted = marts.fct_trips(trips, staging.clean_payments(sources.payments), AS_OF)
+    assert rows_of(fact) == rows_of(wanted)
     dim = warehouse.dim_drivers.read(spark)
     assert len(dim.columns) == 10
-    assert rows_of(dim) == rows_of(registry._dim(fx).select(dim.columns))
+    assert rows_of(dim) == rows_of(registry._dim(fixture(spark, DATA)).select(dim.columns).withColumn(
+        "_dbt_loaded_at", moment(AS_OF)))
 
     staged = warehouse.stg_trips.read(spark)
     assert staged.filter("_loaded_at IS NULL").isEmpty()
@@ -76,13 +86,13 @@ def test_incremental_run_replaces_only_its_days(spark, sources):
     warehouse = Warehouse.at(shared_dir(spark))
     run_batch(spark, sources, warehouse, AS_OF, lookback_hours=None)
     rows_before = warehouse.fct_trips.read(spark).count()
-    # Trips of the last month changed their vehicle; payments did not change.
+    # Trips of the last ten days changed their vehicle; payments did not change.
     changed = sources.trips.withColumn("vehicle_type", F.lit("tuk_tuk"))
     later = Sources(changed, sources.drivers, sources.zones, sources.payments)
-    run_batch(spark, later, warehouse, AS_OF, lookback_hours=720, incremental=True)
+    run_batch(spark, later, warehouse, AS_OF, lookback_hours=240, incremental=True)
     fact = warehouse.fct_trips.read(spark)
-    old = fact.filter("trip_date < '2001-07-02'")
-    new = fact.filter("trip_date >= '2001-07-02'")
+    old = fact.filter("trip_date < '2001-07-22'")
+    new = fact.filter("trip_date >= '2001-07-22'")
     assert not new.isEmpty() and {r[0] for r in new.select("vehicle_type").collect()} == {"tuk_tuk"}
     assert old.filter("vehicle_type = 'tuk_tuk'").isEmpty()
     assert fact.count() == rows_before
@@ -131,3 +141,35 @@ def test_fact_with_repeated_trips_and_payments_keeps_every_row(spark):
     assert rows_of(fact.select(columns)) == rows_of(plain.select(columns))
     keys = [row[0] for row in fact.select("fct_trip_sk").collect()]
     assert sorted(keys) == list(range(1, len(keys) + 1))
+
+
+def test_command_line_runs_batch_manual_load_and_monitor(spark, sources, tmp_path):
+    fx = fixture(spark, DATA)
+    config = {"warehouse": shared_dir(spark), "stream": {"log": shared_dir(spark)}}
+    for name in ("trips", "drivers", "zones"):
+        config[name] = {"format": "parquet", "path": shared_dir(spark)}
+        getattr(sources, name).write.parquet(config[name]["path"])
+    config["payments"] = {"format": "json", "path": shared_dir(spark)}
+    fx.payments.write.json(config["payments"]["path"])
+    file = tmp_path / "job.json"
+    file.write_text(json.dumps(config))
+
+    def run(job, *more):
+        command.main([job, "--config", str(file), "--as-of", "2001-08-01T00:00:00", *more])
+
+    # The first nightly run may find no payments and no staged payments either.
+    run("batch", "--as-of", "2101-01-01T00:00:00")
+    warehouse = Warehouse.at(config["warehouse"])
+    assert warehouse.fct_trips.read(spark).isEmpty()
+    run("batch", "--full")
+    counts = {r.table_name: r.row_count for r in warehouse_counts(spark, warehouse).collect()}
+    assert counts["stg_payments"] == fx.payments.count()
+    assert counts["fct_trips"] == counts["mart_stg_trips"] < counts["stg_trips"]
+    run("manual-load")
+    twice = {r.table_name: r.row_count for r in warehouse_counts(spark, warehouse).collect()}
+    for name in ("stg_trips", "stg_drivers", "mart_stg_trips"):
+        assert twice[name] == 2 * counts[name]
+    assert twice["fct_trips"] == counts["fct_trips"]
+    run("monitor")
+    statuses = [r.status for r in warehouse.audit.read(spark).collect()]
+    assert sorted(statuses) == ["success", "success", "warning_empty_table"]

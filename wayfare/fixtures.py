@@ -9,6 +9,7 @@ unrated drivers, payments of unknown trips, unreadable events.
 from __future__ import annotations
 
 from string import Formatter
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,7 +171,7 @@ class Fixture:
         )
 
 
-_fixtures: dict[tuple[str, str], Fixture] = {}
+_fixtures: WeakKeyDictionary[SparkSession, dict[str, Fixture]] = WeakKeyDictionary()
 
 
 def fixture(spark: SparkSession, folder: str) -> Fixture:
@@ -178,11 +179,11 @@ def fixture(spark: SparkSession, folder: str) -> Fixture:
 
     Its tables are plans, not data. They are made once per session.
     """
-    known = (spark.sparkContext.applicationId, folder)
-    if known not in _fixtures:
+    known = _fixtures.setdefault(spark, {})
+    if folder not in known:
         session.configure(spark, session.stored_bytes(spark, folder))
-        _fixtures[known] = Fixture(spark, folder)
-    return _fixtures[known]
+        known[folder] = Fixture(spark, folder)
+    return known[folder]
 
 
 def with_views(sql: str, more: dict[str, str] | None = None) -> str:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfare import schemas
-from wayfare.operators import extract, health, marts, staging
+from wayfare.operators import extract, health, marts, reports, staging
 from wayfare.session import broadcast_if_small
 from wayfare.sources import targets
 from wayfare.sources.targets import ParquetTable, Table
@@ -43,7 +45,7 @@ class Warehouse:
     def at(cls, root: str) -> Warehouse:
         """A warehouse of Parquet tables below one folder."""
 
-        def table(name: str, schema: object, partition_by: str | None = None) -> ParquetTable:
+        def table(name: str, schema: StructType, partition_by: str | None = None) -> ParquetTable:
             return ParquetTable(f"{root}/{name}", schema, partition_by)
 
         return cls(
@@ -112,7 +114,36 @@ def run_batch(
     return row
 
 
-def _stage(df: DataFrame, table: Table, load) -> int:
+def run_manual_load(spark: SparkSession, sources: Sources, warehouse: Warehouse) -> int:
+    """Add all trips, in key order, and all drivers to staging. Returns the rows added.
+
+    Nothing is removed first: a second load doubles the rows, until the next batch run.
+    """
+    zones = broadcast_if_small(sources.zones)
+    trips = targets.stamp_loaded(extract.trips_with_zones(sources.trips, zones))
+    drivers = targets.stamp_loaded(extract.drivers_with_zones(sources.drivers, zones))
+    if isinstance(warehouse.stg_trips, ParquetTable):
+        loaded = targets.append_ordered(trips, "trip_id", warehouse.stg_trips)
+    else:
+        loaded = targets.append(trips, warehouse.stg_trips)
+    return loaded + targets.append(drivers, warehouse.stg_drivers)
+
+
+def warehouse_counts(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """Row counts of staging, cleaned staging and gold."""
+    trips, drivers = warehouse.stg_trips.read(spark), warehouse.stg_drivers.read(spark)
+    return reports.row_counts({
+        "stg_trips": trips,
+        "stg_drivers": drivers,
+        "stg_payments": warehouse.stg_payments.read(spark),
+        "mart_stg_trips": staging.clean_trips(trips),
+        "mart_stg_drivers": staging.clean_drivers(drivers),
+        "fct_trips": warehouse.fct_trips.read(spark),
+        "dim_drivers": warehouse.dim_drivers.read(spark),
+    })
+
+
+def _stage(df: DataFrame, table: Table, load: Callable[[DataFrame, Table], int]) -> int:
     return load(targets.stamp_loaded(df), table)
 
 

@@ -380,11 +380,11 @@ def numbered_trips(fx: Fixture) -> DataFrame:
     return surrogate_key(rows, "trip_id", "trip_sk", ("user_id", "requested_at"))
 
 
-@query(f"SELECT trip_date, trip_hour, {_FACT.replace('trip_date, trip_hour, ', '')} FROM fact")
-def gold_by_day(fx: Fixture) -> DataFrame:
-    fact = _fact(fx)
-    table = ParquetTable(shared_dir(fx.spark), fact.schema, "trip_date")
-    targets.full_refresh(targets.in_partition_layout(fact, "trip_date"), table)
+@query(f"SELECT {_FACT}, STRFTIME(trip_date, '%Y-%m') AS trip_month FROM fact")
+def gold_by_month(fx: Fixture) -> DataFrame:
+    fact = _fact(fx).withColumn("trip_month", F.date_format("trip_date", "yyyy-MM"))
+    table = ParquetTable(shared_dir(fx.spark), fact.schema, "trip_month")
+    targets.full_refresh(targets.in_partition_layout(fact, "trip_month"), table)
     return table.read(fx.spark)
 
 

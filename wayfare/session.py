@@ -6,8 +6,10 @@ import math
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # One reduce partition per this many input bytes, up to a count the driver can still track.
 BYTES_PER_SHUFFLE_PARTITION = 256 << 20
@@ -74,6 +76,16 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/wayfare-{uuid.uuid4().hex}"
 
 
+def read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Scan Parquet files with a declared schema; a folder not yet written has no rows."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and read it back: one evaluation, lineage cut."""
     path = shared_dir(df.sparkSession)

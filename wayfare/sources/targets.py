@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from wayfare.operators.numbering import surrogate_key
 from wayfare.schemas import conform
+from wayfare.session import read_if_present
 
 
 @dataclass(frozen=True)
@@ -23,7 +24,7 @@ class ParquetTable:
 
     def read(self, spark: SparkSession) -> DataFrame:
         # A partition column would come last.
-        return spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
+        return read_if_present(spark, self.path, self.schema).select(*self.schema.names)
 
     def save(self, df: DataFrame, mode: str, only_touched_partitions: bool = False) -> None:
         writer = df.write.mode(mode)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.schemas import ZONE_WINDOW_LOG
+from wayfare.session import read_if_present
 
 TRIGGER_SECONDS = 60
 
@@ -53,12 +53,7 @@ def start_zone_stream(
 
 def read_window_log(spark: SparkSession, path: str) -> DataFrame:
     """All versions of all windows, with the batch that wrote them; none before the first."""
-    try:
-        return spark.read.schema(ZONE_WINDOW_LOG).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], ZONE_WINDOW_LOG)
+    return read_if_present(spark, path, ZONE_WINDOW_LOG)
 
 
 def append_events(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wayfare.operators import joins, numbering
 
-SMALL = {"row_limit": 50, "bits": 3, "chunk_bits": 4}
+SMALL = {"row_limit": 50, "bits": 3, "cell_rows": 16}
 
 
 def rows_of(df):
@@ -88,12 +88,12 @@ def test_numbered_left_join(spark, sides, limits):
 @pytest.mark.parametrize("sides", SIDES)
 def test_left_join(spark, sides, limit):
     left, right = two_sides(spark, *SIDES[sides])
-    joined = joins.left_join(left, right, "key", row_limit=limit, bits=3)
+    joined = joins.left_join(left, right, "key", row_limit=limit, bits=3, cell_rows=16)
     assert rows_of(joined) == rows_of(left.join(right, "key", "left"))
 
 
 def test_left_join_keeps_rows_without_a_key(spark):
     left = spark.createDataFrame([(None, 1), (1, 2), (9, 3)], "key BIGINT, l INT")
     right = spark.createDataFrame([(1, i) for i in range(80)] + [(None, 0)], "key BIGINT, r INT")
-    joined = joins.left_join(left, right, "key", row_limit=20, bits=3)
+    joined = joins.left_join(left, right, "key", row_limit=20, bits=3, cell_rows=9)
     assert rows_of(joined) == rows_of(left.join(right, "key", "left"))

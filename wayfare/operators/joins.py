@@ -3,20 +3,28 @@
 A sort-merge left join can be split where the left side is skewed, but not where the right
 side is: one right key with a third of all rows would be one task. Keys are therefore looked
 at in buckets of 2**BUCKET_BITS neighbours. Only a bucket above ROW_LIMIT rows can hold such
-a key, and rows of those buckets are joined in another way. Usually there are none.
+a key, and usually there is none. The rows of such buckets are joined in cells: a key with
+many rows is cut into a grid of left slices times right slices, each slice is sent to every
+cell of its row or column, and a cell yields about CELL_ROWS rows at most.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.session import broadcast_if_small
+from wayfare.session import broadcast_if_small, materialise
 
 BUCKET_BITS = 12
 ROW_LIMIT = 1 << 20
+CELL_ROWS = 1 << 20
 BUCKET = "_bucket"
 NO_KEY = (1 << 63) - 1
+CELL = ("_i", "_j")
+# The written position of a row on either side: unique, and the same in every attempt.
+LEFT_SLOT, RIGHT_SLOT = "_left_slot", "_right_slot"
 
 
 def bucket_of(key: Column, bits: int = BUCKET_BITS) -> Column:
@@ -24,15 +32,66 @@ def bucket_of(key: Column, bits: int = BUCKET_BITS) -> Column:
     return F.shiftright(F.coalesce(key.cast("bigint"), F.lit(NO_KEY)), bits)
 
 
-def join_repeated_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join in two parts, each of which adaptive execution can split under skew.
+def _grid(left: DataFrame, right: DataFrame, key: str, cell_rows: int) -> DataFrame:
+    """(key, _a, _b): left and right slices of each left key that needs more than one cell."""
+    lefts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_l"))
+    rights = right.groupBy(key).agg(F.count(F.lit(1)).alias("_r"))
+    rows = lefts.join(rights, key, "left").withColumn("_r", F.coalesce("_r", F.lit(1)))
+
+    def slices(own: str, other: str) -> Column:
+        # One side alone may fill a cell; two long sides share it evenly.
+        length = F.greatest(F.lit(math.isqrt(cell_rows)), F.lit(cell_rows) / F.col(other))
+        return F.ceil(F.col(own) / length)
+
+    grid = rows.select(key, slices("_l", "_r").alias("_a"), slices("_r", "_l").alias("_b"))
+    return grid.filter("_a > 1 OR _b > 1")
+
 
-    Keys found on the right are joined with an inner join, which may be split on both sides.
-    The other left rows are kept by an anti join against the distinct right keys.
+def cell_sides(
+    left: DataFrame, right: DataFrame, key: str, cell_rows: int = CELL_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the cell of each row, rows repeated for every cell they belong to.
+
+    The sides are written first. Slices are taken by written position, so even identical
+    rows spread evenly and a repeated task makes the same choice.
     """
-    matched = left.join(right, key)
-    known = right.select(key).distinct()
-    return matched.unionByName(left.join(known, key, "left_anti"), allowMissingColumns=True)
+    left = materialise(left.withColumn(LEFT_SLOT, F.monotonically_increasing_id()))
+    right = materialise(right.withColumn(RIGHT_SLOT, F.monotonically_increasing_id()))
+    grid = broadcast_if_small(_grid(left, right, key, cell_rows))
+
+    def in_cells(df: DataFrame, slot: str, own: str, own_slices: str, other: str, others: str):
+        ways = df.join(grid, key, "left")
+        ways = ways.withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_a", "_b")})
+        # A row without a key has no partner, so it may be anywhere.
+        place = F.when(F.col(key).isNull(), F.xxhash64(slot)).otherwise(
+            F.pmod(F.xxhash64(slot), F.col(own_slices))
+        )
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1))
+        return ways.withColumn(own, place).withColumn(other, every)
+
+    return (
+        in_cells(left, LEFT_SLOT, "_i", "_a", "_j", "_b"),
+        in_cells(right, RIGHT_SLOT, "_j", "_b", "_i", "_a").drop("_a", "_b"),
+    )
+
+
+def join_cells(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join of two sides in cells, hashed by key and cell.
+
+    A key with several right slices has partners. Where one of its left rows meets an empty
+    slice, that is not a row without partner.
+    """
+    joined = left.join(right, [key, *CELL], "left")
+    return joined.filter((F.col("_b") == 1) | F.col(RIGHT_SLOT).isNotNull()).drop("_a", "_b")
+
+
+def cell_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(bucket, key, cell, _rows) of what `join_cells` yields, without joining any rows."""
+    lefts = left.groupBy(BUCKET, key, *CELL, "_b").agg(F.count(F.lit(1)).alias("_l"))
+    rights = right.groupBy(key, *CELL).agg(F.count(F.lit(1)).alias("_r"))
+    partners = F.coalesce("_r", F.when(F.col("_b") == 1, 1).otherwise(0))
+    rows = lefts.join(rights, [key, *CELL], "left").withColumn("_rows", F.col("_l") * partners)
+    return rows.select(BUCKET, key, *CELL, "_rows")
 
 
 def left_join(
@@ -41,8 +100,9 @@ def left_join(
     key: str,
     row_limit: int = ROW_LIMIT,
     bits: int = BUCKET_BITS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """Left join; right keys that repeat too often for one task are joined separately.
+    """Left join; right keys that repeat too often for one task are joined in cells.
 
     One pass over the right keys finds the buckets in question. It is aggregated before it is
     exchanged.
@@ -59,5 +119,6 @@ def left_join(
         return df.join(heavy, BUCKET, how).drop(BUCKET)
 
     light = part(left, "left_anti").join(part(right, "left_anti"), key, "left")
-    repeated = join_repeated_keys(part(left, "left_semi"), part(right, "left_semi"), key)
+    sides = cell_sides(part(left, "left_semi"), part(right, "left_semi"), key, cell_rows)
+    repeated = join_cells(*sides, key).drop(*CELL, LEFT_SLOT, RIGHT_SLOT)
     return light.unionByName(repeated)

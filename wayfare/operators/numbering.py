@@ -7,8 +7,8 @@ sums over the bucket counts, taken level by level over ever wider buckets: every
 the way spans at most 2**18 counts, and the last one at most 2**16, whatever the keys are.
 
 A bucket can hold many rows only if keys repeat. Buckets above ROW_LIMIT rows go another
-way: their rows are written once, which fixes their order, and are numbered in chunks, so
-one key may hold any share of the table.
+way: their rows are written once, which fixes their order, and are numbered in cells of
+bounded size, so one key may hold any share of the table.
 """
 
 from __future__ import annotations
@@ -21,21 +21,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayfare.operators.joins import (
-    BUCKET, BUCKET_BITS, NO_KEY, ROW_LIMIT, bucket_of, join_repeated_keys,
+    BUCKET, BUCKET_BITS, CELL, CELL_ROWS, LEFT_SLOT, NO_KEY, RIGHT_SLOT, ROW_LIMIT, bucket_of,
+    cell_counts, cell_sides, join_cells,
 )
 from wayfare.session import broadcast_if_small, materialise, materialise_with
 
-# Rows numbered by one window partition of a repeated key, as a power of two.
-CHUNK_BITS = 20
 # Bits removed per level; BUCKET_BITS + 18 + 18 leaves 16 of a 64-bit key.
 _LEVEL_BITS = (18, 18)
 # Up to this many counts a single running sum needs no levels.
 _ONE_WINDOW_ROWS = 1 << 16
 
 
-def _before(*order: str) -> Column:
+def _before(within: Sequence[str], order: Sequence[str]) -> Column:
     """Rows of all earlier entries in an ordered window, 0 for the first."""
-    window = Window.partitionBy(*order[:-1]).orderBy(order[-1])
+    window = Window.partitionBy(*within).orderBy(*order)
     return F.coalesce(
         F.sum("_rows").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
@@ -44,13 +43,13 @@ def _before(*order: str) -> Column:
 def bucket_starts(counts: DataFrame, levels: Sequence[int] = _LEVEL_BITS) -> DataFrame:
     """(bucket, rows in all lower buckets) from (bucket, _rows)."""
     if not levels:
-        return counts.select(BUCKET, _before(BUCKET).alias("_start"))
+        return counts.select(BUCKET, _before([], [BUCKET]).alias("_start"))
     nested = counts.withColumn("_parent", F.shiftright(BUCKET, levels[0]))
     parents = nested.groupBy(F.col("_parent").alias(BUCKET)).agg(F.sum("_rows").alias("_rows"))
     above = bucket_starts(parents, levels[1:]).select(
         F.col(BUCKET).alias("_parent"), F.col("_start").alias("_above")
     )
-    inside = nested.select(BUCKET, "_parent", _before("_parent", BUCKET).alias("_inside"))
+    inside = nested.select(BUCKET, "_parent", _before(["_parent"], [BUCKET]).alias("_inside"))
     return inside.join(above, "_parent").select(
         BUCKET, (F.col("_above") + F.col("_inside")).alias("_start")
     )
@@ -100,30 +99,34 @@ def number_light(
     )
 
 
-def number_heavy(
-    rows: DataFrame, plan: BucketPlan, key: str, name: str, chunk_bits: int = CHUNK_BITS
+def number_cells(
+    rows: DataFrame,
+    counts: DataFrame,
+    plan: BucketPlan,
+    key: str,
+    cell: Sequence[str],
+    order: Sequence[str],
+    name: str,
 ) -> DataFrame:
-    """Number rows of repeated keys. Equal keys take the order in which they were written."""
-    placed = materialise(
-        rows.withColumn("_slot", F.monotonically_increasing_id())
-        .withColumn("_key", F.coalesce(F.col(key).cast("bigint"), F.lit(NO_KEY)))
-        .withColumn("_chunk", F.shiftright("_slot", chunk_bits))
-    )
-    chunks = placed.groupBy(BUCKET, "_key", "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
-    keys = chunks.groupBy(BUCKET, "_key").agg(F.sum("_rows").alias("_rows"))
+    """Number rows of repeated keys, given (bucket, key, cell, _rows) of each cell.
+
+    Rows are in key order, then in cell order. `order` is unique within a cell.
+    """
+    keys = counts.groupBy(BUCKET, key).agg(F.sum("_rows").alias("_rows"))
     key_starts = keys.join(plan.starts, BUCKET).select(
-        "_key", (F.col("_start") + _before(BUCKET, "_key")).alias("_key_start")
+        key, (F.col("_start") + _before([BUCKET], [key])).alias("_key_start")
     )
-    chunk_starts = chunks.select("_key", "_chunk", _before("_key", "_chunk").alias("_inside"))
-    starts = chunk_starts.join(key_starts, "_key").select(
-        "_key", "_chunk", (F.col("_key_start") + F.col("_inside")).alias("_start")
+    starts = (
+        counts.select(key, *cell, _before([key], cell).alias("_inside"))
+        .join(key_starts, key)
+        .select(key, *cell, (F.col("_key_start") + F.col("_inside")).alias("_start"))
     )
-    place = F.row_number().over(Window.partitionBy("_key", "_chunk").orderBy("_slot"))
+    place = F.row_number().over(Window.partitionBy(key, *cell).orderBy(*order))
     return (
-        placed.withColumn("_place", place)
-        .join(starts, ["_key", "_chunk"])
+        rows.withColumn("_place", place)
+        .join(starts, [key, *cell])
         .withColumn(name, F.col("_start") + F.col("_place"))
-        .drop("_place", "_start", "_slot", "_key", "_chunk", BUCKET)
+        .drop("_place", "_start", BUCKET, *cell, *order)
     )
 
 
@@ -134,7 +137,7 @@ def surrogate_key(
     ties: Sequence[str] = (),
     row_limit: int = ROW_LIMIT,
     bits: int = BUCKET_BITS,
-    chunk_bits: int = CHUNK_BITS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Number all rows 1, 2, 3 … in the order of an integer key, rows without a key last.
 
@@ -147,8 +150,16 @@ def surrogate_key(
     light = number_light(plan.light_rows(bucketed).repartition(BUCKET), plan, key, name, ties)
     if plan.heavy is None:
         return light
-    heavy = number_heavy(plan.heavy_rows(bucketed), plan, key, name, chunk_bits)
-    return light.unionByName(heavy)
+    # Neighbouring positions of a written file share the upper part of the slot.
+    placed = materialise(
+        plan.heavy_rows(bucketed)
+        .withColumn("_slot", F.monotonically_increasing_id())
+        .withColumn("_chunk", F.floor(F.col("_slot") / cell_rows))
+        .withColumn("_key", F.coalesce(F.col(key).cast("bigint"), F.lit(NO_KEY)))
+    )
+    cells = placed.groupBy(BUCKET, "_key", "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = number_cells(placed, cells, plan, "_key", ["_chunk"], ["_slot"], name)
+    return light.unionByName(heavy.drop("_key"))
 
 
 def numbered_left_join(
@@ -159,7 +170,7 @@ def numbered_left_join(
     ties: Sequence[str] = (),
     row_limit: int = ROW_LIMIT,
     bits: int = BUCKET_BITS,
-    chunk_bits: int = CHUNK_BITS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Left join on an integer key, with the result numbered in key order.
 
@@ -176,8 +187,14 @@ def numbered_left_join(
     light = number_light(joined, plan, key, name, ties)
     if plan.heavy is None:
         return light
-    rows = join_repeated_keys(plan.heavy_rows(left), plan.heavy_rows(right).drop(BUCKET), key)
-    return light.unionByName(number_heavy(rows, plan, key, name, chunk_bits))
+    sides = cell_sides(
+        plan.heavy_rows(left), plan.heavy_rows(right).drop(BUCKET), key, cell_rows
+    )
+    heavy = number_cells(
+        join_cells(*sides, key), cell_counts(*sides, key), plan, key, CELL,
+        (LEFT_SLOT, RIGHT_SLOT), name,
+    )
+    return light.unionByName(heavy)
 
 
 def _join_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

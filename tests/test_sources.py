@@ -12,7 +12,9 @@ from wayfare.sources import readers
 
 def test_relational_options():
     plain = readers.relational_options("jdbc:x", "trips")
-    assert plain == {"url": "jdbc:x", "dbtable": "trips", "fetchsize": "10000"}
+    assert plain == {
+        "url": "jdbc:x", "dbtable": "trips", "fetchsize": "10000", "preferTimestampNTZ": "true",
+    }
     split = readers.relational_options("jdbc:x", "trips", "trip_id", (1, 900), 4)
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"]) == ("trip_id", "1", "900")
     assert split["numPartitions"] == "4"

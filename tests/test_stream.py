@@ -102,6 +102,19 @@ def test_empty_batches_write_nothing_and_retries_overwrite(spark):
     assert [row.batch_id for row in sinks.read_window_log(spark, path).collect()] == [1]
 
 
+def test_a_batch_repeated_into_a_table_counts_once(spark):
+    log = ParquetTable(shared_dir(spark), schemas.ZONE_WINDOW_LOG)
+    write = sinks.batch_writer(log)
+    batch = windows.zone_windows(
+        windows.parse_events(records(spark, [GOOD % (1, "10", "00:01:00")]))
+    )
+    write(batch, 3)
+    write(batch, 3)
+    assert log.read(spark).count() == 2
+    newest = windows.newest_versions(log.read(spark)).collect()
+    assert [row.trip_count for row in newest] == [1]
+
+
 def test_fixture_stream_rewrites_windows(spark):
     fx = fixture(spark, "/root/testdata/sf0.01")
     log = registry._Arrivals(fx).window_log(registry.ODD)

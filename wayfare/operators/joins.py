@@ -111,7 +111,7 @@ def left_join(
     heavy = counts.filter(F.col("count") > row_limit).select(BUCKET)
     if heavy.isEmpty():
         return left.join(right, key, "left")
-    heavy = broadcast_if_small(heavy)
+    heavy = broadcast_if_small(materialise(heavy))
     left = left.withColumn(BUCKET, bucket_of(F.col(key), bits))
     right = right.withColumn(BUCKET, bucket_of(F.col(key), bits))
 

@@ -37,7 +37,7 @@ class Warehouse:
     stg_trips: Table
     stg_drivers: Table
     stg_payments: Table
-    fct_trips: ParquetTable
+    fct_trips: Table
     dim_drivers: Table
     audit: Table
 
@@ -72,8 +72,10 @@ def run_batch(
     Staging holds what the look-back covers and gold is rebuilt from it; pass
     `lookback_hours=None` for a full load. With no new payments the staged payments stay.
     `incremental=True` looks back to the start of a day and replaces only the days it covers,
-    so earlier days stay in gold.
+    so earlier days stay in gold; it needs the fact in partitioned files.
     """
+    if incremental and not isinstance(warehouse.fct_trips, ParquetTable):
+        raise ValueError("only a fact stored in partitioned files can be refreshed by day")
     # A database reports no table sizes, so the optimiser needs to be told that zones are few.
     zones = broadcast_if_small(sources.zones)
     if incremental and lookback_hours is not None:
@@ -100,9 +102,9 @@ def run_batch(
         _refresh_days(spark, clean_trips, clean_payments, warehouse.fct_trips, as_of)
     else:
         fact = marts.fct_trips(clean_trips, clean_payments, as_of)
-        targets.full_refresh(
-            targets.in_partition_layout(fact, "trip_date"), warehouse.fct_trips
-        )
+        if isinstance(warehouse.fct_trips, ParquetTable):
+            fact = targets.in_partition_layout(fact, "trip_date")
+        targets.full_refresh(fact, warehouse.fct_trips)
 
     counts = spark.range(1).select(
         F.lit(payment_rows).alias("payment_rows"), F.lit(trip_rows).alias("trip_rows")

@@ -19,16 +19,16 @@ MONITOR_NAME = "stream_monitor"
 
 def run_stream(
     records: DataFrame,
-    path: str,
+    sink: str | Table,
     checkpoint: str,
     late_tolerance: str | None = None,
     trigger_seconds: int | None = sinks.TRIGGER_SECONDS,
 ) -> StreamingQuery:
-    """Aggregate a stream of broker records into the window log below `path`."""
+    """Aggregate a stream of broker records into the window log, a folder or a table."""
     aggregated = windows.zone_windows(
         windows.parse_events(records), late_tolerance=late_tolerance
     )
-    return sinks.start_zone_stream(aggregated, path, checkpoint, trigger_seconds)
+    return sinks.start_zone_stream(aggregated, sink, checkpoint, trigger_seconds)
 
 
 def run_monitor(

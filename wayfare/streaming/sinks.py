@@ -6,25 +6,32 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.schemas import ZONE_WINDOW_LOG
 from wayfare.session import read_if_present
+from wayfare.sources.targets import Table, append
 
 TRIGGER_SECONDS = 60
 
 
-def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
+def batch_writer(sink: str | Table) -> Callable[[DataFrame, int], None]:
     """A micro-batch writer that skips empty batches and may be repeated.
 
-    Each batch owns one folder. A retry overwrites it, where an append would double the rows.
+    Below a path each batch owns one folder, and a retry overwrites it. In a table a retry
+    appends the batch again under its number; `newest_versions` keeps one row of them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if not batch.isEmpty():
-                batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            if batch.isEmpty():
+                return
+            if isinstance(sink, str):
+                batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+            else:
+                append(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), sink)
         finally:
             batch.unpersist()
 
@@ -33,16 +40,16 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 def start_zone_stream(
     windows: DataFrame,
-    path: str,
+    sink: str | Table,
     checkpoint: str,
     trigger_seconds: int | None = TRIGGER_SECONDS,
 ) -> StreamingQuery:
-    """Start writing changed windows to the log below `path`.
+    """Start writing changed windows to the log, a folder or a table.
 
     `trigger_seconds=None` works off what has arrived and stops. `checkpoint` must be on
     storage that outlives the driver; a restart with the same folder goes on where it ended.
     """
-    writer = windows.writeStream.outputMode("update").foreachBatch(batch_writer(path))
+    writer = windows.writeStream.outputMode("update").foreachBatch(batch_writer(sink))
     writer = writer.option("checkpointLocation", checkpoint)
     if trigger_seconds is None:
         writer = writer.trigger(availableNow=True)

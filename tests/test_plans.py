@@ -117,3 +117,20 @@ def test_latest_rows_are_taken_without_a_full_sort(spark):
         F.col("id").alias("window_start"), F.col("id").alias("zone_id"),
     )
     assert "TakeOrderedAndProject" in plan(reports.latest_windows(log))
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_no_query_gathers_rows_or_pairs_them_all(spark, name):
+    """Without broadcasts no plan crosses tables, runs Python or brings rows into one task.
+
+    What may go through one task are partial aggregates and the counts of numbering buckets.
+    """
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        lines = plan(registry.QUERIES[name](spark, DATA)).splitlines()
+    text = "\n".join(lines)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert node not in text
+    for number, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = lines[number + 1]
+            assert "partial_" in below or "_rows" in below, below

@@ -8,7 +8,7 @@ from wayfare import registry, schemas
 from wayfare.fixtures import fixture
 from wayfare.operators import reports
 from wayfare.plans.stream import run_monitor, run_stream
-from wayfare.session import shared_dir
+from wayfare.session import keep_state_on_disk, shared_dir
 from wayfare.sources import readers
 from wayfare.sources.targets import ParquetTable
 from wayfare.streaming import sinks, windows
@@ -81,6 +81,24 @@ def test_update_versions_collapse_to_the_newest(spark):
     assert [(row.zone_id, row.window_start.minute) for row in live] == [(4, 10)]
 
 
+def test_state_on_disk_gives_the_same_windows(spark):
+    settings = ("providerClass", "rocksdb.changelogCheckpointing.enabled")
+    names = [f"spark.sql.streaming.stateStore.{name}" for name in settings]
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        keep_state_on_disk(spark)
+        stream = Stream(spark)
+        stream.arrive(GOOD % (1, "10", "00:01:00"))
+        stream.arrive(GOOD % (3, "5", "00:02:00"))
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+    assert stream.counts() == {"00:00": 2}
+
+
 def test_late_events_without_and_with_a_tolerance(spark):
     for tolerance, first_window in ((None, 2), ("10 minutes", 1)):
         stream = Stream(spark, tolerance)

@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from wayfare import schemas
 from wayfare.plans import batch, stream
-from wayfare.session import configure
+from wayfare.session import configure, keep_state_on_disk
 from wayfare.sources import readers
 from wayfare.streaming import sinks
 
@@ -81,6 +81,7 @@ def main(given: list[str] | None = None) -> None:
     elif args.job == "counts":
         batch.warehouse_counts(spark, warehouse).show(truncate=False)
     elif args.job == "stream":
+        keep_state_on_disk(spark)
         target = config["stream"]
         records = readers.stream_broker(spark, target["servers"], target["topic"])
         stream.run_stream(

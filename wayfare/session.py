@@ -55,6 +55,17 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     return spark
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Hold streaming state in RocksDB, for a stream whose windows outgrow executor memory.
+
+    A checkpoint stays with the kind of state it was begun with.
+    """
+    store = "spark.sql.streaming.stateStore"
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set(f"{store}.providerClass", provider)
+    spark.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under `path`, from the listing alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -72,7 +83,9 @@ def shared_dir(spark: SparkSession) -> str:
         app = spark.sparkContext.applicationId
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _scratch_roots.setdefault(app, tempfile.mkdtemp(prefix="wayfare-"))
+        if app not in _scratch_roots:
+            _scratch_roots[app] = tempfile.mkdtemp(prefix="wayfare-")
+        root = _scratch_roots[app]
     return f"{root.rstrip('/')}/wayfare-{uuid.uuid4().hex}"
 
 

@@ -47,6 +47,19 @@ def test_identical_copies_are_all_numbered(spark):
     assert_numbered(numbering.surrogate_key(df, "key", "sk", **SMALL), df, "key")
 
 
+@pytest.mark.parametrize("limits", [{}, SMALL], ids=["default limits", "small limits"])
+@pytest.mark.parametrize("keys", KEYS)
+def test_in_key_order_cuts_equal_partitions(spark, keys, limits):
+    df = spark.range(1000).select(F.expr(KEYS[keys]).alias("key"), F.col("id").alias("v"))
+    ordered = numbering.in_key_order(df, "key", rows_per_partition=300, **limits)
+    found = ordered.select("*", F.spark_partition_id().alias("p")).collect()
+    assert Counter(row.p for row in found) == {0: 300, 1: 300, 2: 300, 3: 100}
+    assert [row.p for row in found] == sorted(row.p for row in found)
+    found_keys = [row.key for row in found]
+    assert found_keys == sorted(found_keys, key=lambda k: (k is None, k or 0))
+    assert Counter((row.key, row.v) for row in found) == rows_of(df)
+
+
 def test_levels_give_the_same_starts_as_one_window(spark):
     counts = spark.range(4000).select(
         ((F.col("id") - 2000) * 70368744177).alias(numbering.BUCKET),

@@ -13,6 +13,7 @@ bounded size, so one key may hold any share of the table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -61,6 +62,7 @@ class BucketPlan:
 
     starts: DataFrame
     heavy: DataFrame | None
+    rows: int
 
     def light_rows(self, df: DataFrame) -> DataFrame:
         return df if self.heavy is None else df.join(self.heavy, BUCKET, "left_anti")
@@ -75,13 +77,17 @@ def plan_buckets(counts: DataFrame, row_limit: int = ROW_LIMIT) -> BucketPlan:
     The counts are written once; only their totals reach the driver.
     """
     counts, totals = materialise_with(
-        counts, buckets=F.count(F.lit(1)), heavy=F.count_if(F.col("_load") > row_limit)
+        counts,
+        buckets=F.count(F.lit(1)),
+        heavy=F.count_if(F.col("_load") > row_limit),
+        rows=F.coalesce(F.sum("_rows"), F.lit(0)),
     )
     levels = () if totals["buckets"] <= _ONE_WINDOW_ROWS else _LEVEL_BITS
     heavy = None
     if totals["heavy"]:
         heavy = broadcast_if_small(counts.filter(F.col("_load") > row_limit).select(BUCKET))
-    return BucketPlan(bucket_starts(counts.select(BUCKET, "_rows"), levels), heavy)
+    starts = bucket_starts(counts.select(BUCKET, "_rows"), levels)
+    return BucketPlan(starts, heavy, totals["rows"])
 
 
 def number_light(
@@ -144,12 +150,40 @@ def surrogate_key(
     Rows with equal keys follow `ties`; in buckets above `row_limit` rows they follow any
     order.
     """
+    return _numbered(df, key, name, ties, row_limit, bits, cell_rows)[0]
+
+
+def in_key_order(
+    df: DataFrame, key: str, rows_per_partition: int = ROW_LIMIT, **limits: int
+) -> DataFrame:
+    """Rows in the total order of an integer key, in partitions of equal length.
+
+    Partitions are cut on the row number, which is unique, so equal keys cannot crowd one of
+    them, and no sample is needed to place the cuts.
+    """
+    numbered, rows = _numbered(df, key, "_position", **limits)
+    partition = F.floor((F.col("_position") - 1) / rows_per_partition).cast("int")
+    partitions = max(1, math.ceil(rows / rows_per_partition))
+    placed = numbered.repartitionById(partitions, partition)
+    return placed.sortWithinPartitions("_position").drop("_position")
+
+
+def _numbered(
+    df: DataFrame,
+    key: str,
+    name: str,
+    ties: Sequence[str] = (),
+    row_limit: int = ROW_LIMIT,
+    bits: int = BUCKET_BITS,
+    cell_rows: int = CELL_ROWS,
+) -> tuple[DataFrame, int]:
+    """The numbered rows, and how many there are."""
     bucketed = df.withColumn(BUCKET, bucket_of(F.col(key), bits))
     counts = bucketed.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_rows"))
     plan = plan_buckets(counts.withColumn("_load", F.col("_rows")), row_limit)
     light = number_light(plan.light_rows(bucketed).repartition(BUCKET), plan, key, name, ties)
     if plan.heavy is None:
-        return light
+        return light, plan.rows
     # Neighbouring positions of a written file share the upper part of the slot.
     placed = materialise(
         plan.heavy_rows(bucketed)
@@ -159,7 +193,7 @@ def surrogate_key(
     )
     cells = placed.groupBy(BUCKET, "_key", "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
     heavy = number_cells(placed, cells, plan, "_key", ["_chunk"], ["_slot"], name)
-    return light.unionByName(heavy.drop("_key"))
+    return light.unionByName(heavy.drop("_key")), plan.rows
 
 
 def numbered_left_join(

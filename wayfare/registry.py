@@ -36,13 +36,14 @@ ORACLE: dict[str, str] = {}
 
 # Staging and gold as SQL, for the queries above them.
 GOLD = {
-    "staged_trips": """
-SELECT t.trip_id, t.user_id, t.driver_id, t.pickup_zone_id, t.dropoff_zone_id, t.status,
-  t.vehicle_type, t.payment_method, t.requested_at, t.completed_at, t.base_fare, t.surge_fare,
-  t.distance_km, t.duration_min, t.cancellation_reason, pz.zone_name AS pickup_zone_name,
-  dz.zone_name AS dropoff_zone_name, pz.governorate AS pickup_governorate
-FROM trips t JOIN zones pz ON t.pickup_zone_id = pz.zone_id
-  JOIN zones dz ON t.dropoff_zone_id = dz.zone_id""",
+    "staged_trips": f"""
+SELECT {", ".join(schemas.TRIP_COLUMNS)}, pickup_zone_name, dropoff_zone_name,
+  pickup_governorate
+FROM trips
+JOIN (SELECT zone_id AS pickup_zone_id, zone_name AS pickup_zone_name,
+    governorate AS pickup_governorate FROM zones) AS pickup USING (pickup_zone_id)
+JOIN (SELECT zone_id AS dropoff_zone_id, zone_name AS dropoff_zone_name FROM zones) AS dropoff
+  USING (dropoff_zone_id)""",
     "staged_drivers": """
 SELECT driver_id, full_name, vehicle_type, vehicle_plate, rating, active, zone_name, governorate
 FROM drivers JOIN zones ON registered_zone = zone_id""",
@@ -55,7 +56,7 @@ SELECT trip_id, user_id, driver_id, pickup_zone_id, dropoff_zone_id,
   CASE WHEN base_fare > 0 THEN ((200 * CAST(surge_fare * 100 AS HUGEINT)
     + CAST(base_fare * 100 AS HUGEINT)) // (2 * CAST(base_fare * 100 AS HUGEINT))) / 100.0
     ELSE 1.0 END AS surge_multiplier,
-  CAST(CASE WHEN LOWER(status) = 'cancelled' THEN 1 ELSE 0 END AS INT) AS is_cancelled,
+  CAST(COALESCE(LOWER(status) = 'cancelled', FALSE) AS INT) AS is_cancelled,
   CAST(requested_at AS DATE) AS trip_date, CAST(EXTRACT(HOUR FROM requested_at) AS INT) AS trip_hour
 FROM staged_trips WHERE trip_id IS NOT NULL AND base_fare >= 0""",
     "clean_drivers": """

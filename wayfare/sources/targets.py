@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wayfare.operators.numbering import surrogate_key
+from wayfare.operators.numbering import in_key_order
 from wayfare.schemas import conform
 from wayfare.session import read_if_present
 
@@ -114,10 +114,5 @@ def in_partition_layout(df: DataFrame, column: str) -> DataFrame:
 
 
 def append_ordered(df: DataFrame, key: str, table: ParquetTable) -> int:
-    """Add rows in files whose order is the total order of `key`.
-
-    Ranges are cut on the row number, which is unique, so equal keys cannot crowd one range.
-    """
-    numbered = surrogate_key(df, key, "_position")
-    ranged = numbered.repartitionByRange("_position").sortWithinPartitions("_position")
-    return append(ranged.drop("_position"), table)
+    """Add rows in files whose order is the total order of `key`."""
+    return append(in_key_order(df, key), table)

@@ -21,10 +21,10 @@ def parse_events(records: DataFrame) -> DataFrame:
     become NULL; none of them stops the stream.
     """
     event = F.from_json(F.col("value").cast("string"), TRIP_EVENT)
-    return (
-        records.select(event.alias("data"), F.col("timestamp").alias("kafka_ts"))
-        .select("data.*", "kafka_ts")
-        .withColumn("event_time", F.try_to_timestamp("timestamp"))
+    return records.withColumn("event", event).select(
+        "event.*",
+        F.col("timestamp").alias("kafka_ts"),
+        F.try_to_timestamp("event.timestamp").alias("event_time"),
     )
 
 

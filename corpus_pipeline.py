@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import packing, repetition
+from wayfare.llm import packing, repetition, secrets, simhash, weak_labels
 from wayfare.llm.common import table
 from wayfare.session import configure, materialise
 
@@ -23,6 +23,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return repetition.keep_good(docs)
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the weak-label classifier finds to be junk or toxic."""
+    return weak_labels.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates: the one of the smallest doc_id."""
+    return simhash.keep_first(docs)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in texts, but for widely copied examples."""
+    return secrets.redact(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the documents into sequences; one row per piece."""
     return packing.pack_documents(docs)
@@ -30,6 +45,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", near_duplicates),
+    ("secret scans", secret_scans),
     ("best-fit packing", best_fit_packing),
 ]
 

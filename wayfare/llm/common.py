@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,12 +25,36 @@ ROW = "_wf_row"
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches of this session, so that a worker never holds many long texts."""
+    """Bound the Arrow batches of this session, so that a worker never holds many long texts.
+
+    Also makes sure that workers can import this package.
+    """
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, unless they find it where the driver does."""
+    root = Path(__file__).resolve().parents[2]
+    found = {Path.cwd(), *map(Path, os.environ.get("PYTHONPATH", "").split(os.pathsep))}
+    app = spark.sparkContext.applicationId
+    if root in found or app in _shipped:
+        return
+    # The folder lasts as long as the driver, since executors fetch the file when they start.
+    folder = tempfile.TemporaryDirectory(prefix="wayfare-package-")
+    archive = Path(folder.name) / "wayfare.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted((root / "wayfare").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped[app] = folder
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import elias_fano, packing, prefix_bpe, repetition, simhash
+from wayfare.llm import (
+    elias_fano, packing, pii, prefix_bpe, repetition, secrets, simhash, urls, vafile, weak_labels,
+)
 from wayfare.llm.common import table
 from wayfare.session import configure
 
@@ -28,6 +30,23 @@ def query(name: str) -> Callable[[Query], Query]:
     return add
 
 
+@query("op1_pii_disclosure")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_spans(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", *(f"n_{kind}" for kind in pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+@query("op2_vector_approximation")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    asked = F.col("vec_id") % vafile.QUERY_STEP == 0
+    return vafile.top_k(table(spark, folder, "embeddings"), asked)
+
+
+ORACLE["op2_vector_approximation"] = vafile.SQL
+
+
 @query("op3_best_fit_packing")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
@@ -53,6 +72,36 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op7_secret_owners")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(table(spark, folder, "documents"))
+
+
+ORACLE["op7_secret_owners"] = secrets.SQL
+
+
+@query("op8_url_lists_as_of")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return urls.blocked(urls.captures_from(pages), urls.entries_from(pages)).select(
+        "page_id", "host", F.col("fetched").cast("string").alias("fetched"), "n_entries", "categories",
+        F.col("since").cast("string").alias("since"),
+    )
+
+
+ORACLE["op8_url_lists_as_of"] = urls.SQL
+
+
+@query("op9_weak_label_classifier")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = weak_labels.classify(docs, table(spark, folder, "labels"), "s")
+    return found.select(
+        "doc_id", F.round("s.p_junk", 6).alias("p_junk"), F.round("s.p_toxic", 6).alias("p_toxic"),
+        F.col("s.kept").alias("kept"),
+    )
+
+
 @query("op10_elias_fano_ids")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return elias_fano.write_and_read(spark, table(spark, folder, "documents"))

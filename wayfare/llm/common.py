@@ -64,12 +64,29 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def with_row_ids(df: DataFrame, *, name: str = ROW) -> DataFrame:
-    """Write `df` with a unique id per row and read it back.
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    Ids are fixed by the write, so later stages may join on them whatever is recomputed.
+
+def whole_rows(df: DataFrame) -> DataFrame:
+    """Write `df` as one struct per row, `_doc`, with a unique id `_wf_row`, and read it back.
+
+    Ids are fixed by the write, so later stages may join on them whatever is recomputed. In the
+    struct, the columns of `df` can not clash with any that an operator adds.
     """
-    return materialise(df.withColumn(name, F.monotonically_increasing_id()))
+    columns = [F.col(quoted(c)) for c in df.columns]
+    return materialise(
+        df.select(F.struct(*columns).alias("_doc"), F.monotonically_increasing_id().alias(ROW))
+    )
+
+
+def fields_of(df: DataFrame, replaced: dict[str, Column] | None = None) -> list[Column]:
+    """The columns inside `_doc`, some of them replaced."""
+    new = replaced or {}
+    return [
+        new[c].alias(c) if c in new else F.col(f"_doc.{quoted(c)}").alias(c)
+        for c in df.schema["_doc"].dataType.names
+    ]
 
 
 def sha256_hex(data: bytes) -> str:

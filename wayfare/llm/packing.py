@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayfare.llm.common import bounded_batches, text_of, texts_in, with_row_ids
+from wayfare.llm.common import ROW, bounded_batches, fields_of, text_of, texts_in, whole_rows
 from wayfare.llm.tokens import default_path, library_coder
 
 CAPACITY = 2048
@@ -295,21 +295,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
     are numbered from 0. Rows may repeat. No rows give no rows.
     """
     spark = pieces.sparkSession
-    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    placed = with_row_ids(pieces.select(*columns), name="_slot")
+    placed = whole_rows(pieces.drop("sequence_id", "offset"))
+    placed = placed.withColumn("length", F.col("_doc.length"))
     histogram = {r[0]: r[1] for r in placed.groupBy("length").count().collect()}
     if any(n < 1 or n > capacity for n in histogram):
         raise ValueError(f"piece lengths must be from 1 to {capacity}")
     total = sum(histogram.values())
     salts = max(LEAST_SALTS, -(-total // SALT_ROWS))
-    salted = placed.withColumn("_salt", F.pmod(F.xxhash64("_slot"), F.lit(salts)))
+    salted = placed.withColumn("_salt", F.pmod(F.xxhash64(ROW), F.lit(salts)))
     group = Window.partitionBy("length", "_salt")
     counts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt")
     starts = counts.select(
         "length", "_salt", (F.sum("_n").over(before) - F.col("_n")).alias("_before")
     )
-    numbered = salted.withColumn("_in", F.row_number().over(group.orderBy("_slot")) - 1).join(
+    numbered = salted.withColumn("_in", F.row_number().over(group.orderBy(ROW)) - 1).join(
         starts, ["length", "_salt"]
     )
     numbered = numbered.withColumn("_index", F.col("_before") + F.col("_in"))
@@ -325,7 +325,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
     )
     nth = F.col("_index") - F.col("_first")
     return found.select(
-        *columns,
+        *fields_of(placed),
         (F.col("_sequence") + F.floor(nth / F.col("_places"))).cast("long").alias("sequence_id"),
         (F.col("_offset") + nth % F.col("_places") * F.col("length")).cast("long").alias("offset"),
     )

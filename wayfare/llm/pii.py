@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import ROW, bounded_batches, texts_in
+from wayfare.llm.common import ROW, bounded_batches, fields_of, texts_in, whole_rows
 from wayfare.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -317,8 +317,8 @@ def _candidates(rows: DataFrame, wanted: bytes) -> DataFrame:
     return rows.mapInArrow(find, FOUND)
 
 
-def find_spans(docs: DataFrame, keep_row: bool = False, **thresholds: float) -> DataFrame:
-    """doc_id, counts of base kinds, base spans and all spans of each row.
+def find_spans(docs: DataFrame, row: Column | None = None, **thresholds: float) -> DataFrame:
+    """doc_id, row id, counts of base kinds, base spans and all spans of each row.
 
     Spans are kind:start:end in code points, end exclusive, joined by commas: base spans by kind,
     then those of the method, kinds `generalise` and `remove`, by start. They never overlap
@@ -331,7 +331,7 @@ def find_spans(docs: DataFrame, keep_row: bool = False, **thresholds: float) ->
     wanted = bit_filter(disclosing.select("h"))
     numbered = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.col(ROW) if keep_row else F.monotonically_increasing_id().alias(ROW),
+        (F.monotonically_increasing_id() if row is None else row).alias(ROW),
         *columns,
     )
     # Written once: row ids are fixed, and the texts are left behind.
@@ -352,14 +352,14 @@ def find_spans(docs: DataFrame, keep_row: bool = False, **thresholds: float) ->
     )
     base = F.when(F.col("base") != "", F.col("base"))
     return found.drop("h", "starts", "ends").join(added, ROW, "left").select(
-        "doc_id", *([ROW] if keep_row else []), *(f"n_{kind}" for kind in KINDS), "base",
+        "doc_id", ROW, *(f"n_{kind}" for kind in KINDS), "base",
         F.concat_ws(",", base, F.array_join(text, ",")).alias("spans"),
     )
 
 
-def sanitise_text(text: str, spans: str) -> str:
+def sanitise_text(text: str | None, spans: str) -> str | None:
     """The text with spans replaced: base ones by their kind, terms by their class or nothing."""
-    if not spans:
+    if not spans or text is None:
         return text
     cuts = []
     for span in spans.split(","):
@@ -380,17 +380,12 @@ def sanitise_text(text: str, spans: str) -> str:
 
 def sanitise(docs: DataFrame, **thresholds: float) -> DataFrame:
     """`docs` with sanitised texts; other columns stay. See `find_spans` for odd input."""
-    spark: SparkSession = docs.sparkSession
-    bounded_batches(spark)
-    numbered = materialise(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    spans = materialise(
-        find_spans(numbered, keep_row=True, **thresholds).filter("spans <> ''").select(ROW, "spans")
-    )
+    bounded_batches(docs.sparkSession)
+    numbered = whole_rows(docs)
+    found = find_spans(numbered.select("_doc.doc_id", "_doc.text", ROW), F.col(ROW), **thresholds)
+    spans = materialise(found.filter("spans <> ''").select(ROW, "spans"))
     clean = F.udf(sanitise_text, "string", useArrow=True)
-    joined = numbered.join(spans, ROW, "left")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean("text", "spans"))
-    return joined.withColumn("text", text).select(*docs.columns)
-
-
-def base_digest(base: Column) -> Column:
-    return F.sha2(base, 256)
+    text = F.when(F.col("spans").isNull(), F.col("_doc.text")).otherwise(
+        clean(F.col("_doc.text"), F.coalesce("spans", F.lit("")))
+    )
+    return numbered.join(spans, ROW, "left").select(*fields_of(numbered, {"text": text}))

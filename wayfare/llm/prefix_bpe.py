@@ -14,6 +14,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
@@ -215,14 +216,13 @@ def decoded(ids: Column, path: str | None = None) -> Column:
 
 
 def id_array(ids: Column) -> Column:
-    """The ids as an array of long."""
-    at = F.sequence(F.lit(0), (F.length(ids) / 4).cast("int") - 1)
-    numbers = F.transform(
-        at, lambda k: F.conv(F.hex(F.reverse(F.substring(ids, k * 4 + 1, F.lit(4)))), 16, 10)
-    )
-    return F.when(F.length(ids) > 0, numbers.cast("array<long>")).otherwise(
-        F.array().cast("array<long>")
-    )
+    """The ids as an array of long; null stays null."""
+
+    @F.pandas_udf("array<long>")
+    def numbers(column: pd.Series) -> pd.Series:
+        return column.map(lambda data: np.frombuffer(data, "<u4").astype(np.int64), na_action="ignore")
+
+    return numbers(ids)
 
 
 def encode_documents(docs: DataFrame, column: str = "ids", path: str | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import ROW, text_of
+from wayfare.llm.common import ROW, fields_of, text_of, whole_rows
 from wayfare.session import materialise
 
 KINDS = ("assign", "access", "hex")
@@ -66,16 +66,17 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
-def with_candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
+def with_candidates(
+    docs: DataFrame, owner: Column, repository: Column, row: Column | None = None
+) -> DataFrame:
     """doc_id, row, owner, repository, base spans and candidates of every row, without texts."""
     text = F.col("_text")
+    row = F.monotonically_increasing_id() if row is None else row
     read = docs.select(
-        *(docs[c] for c in docs.columns if c in (ROW,)),
-        F.col("doc_id").cast("long").alias("doc_id"), owner.cast("string").alias("_owner"),
-        repository.cast("string").alias("_repo"), text_of().alias("_text"),
+        row.alias(ROW), F.col("doc_id").cast("long").alias("doc_id"),
+        owner.cast("string").alias("_owner"), repository.cast("string").alias("_repo"),
+        text_of().alias("_text"),
     )
-    if ROW not in docs.columns:
-        read = read.withColumn(ROW, F.monotonically_increasing_id())
     assigned = F.filter("_assign", lambda m: F.length(m["value"]) >= LEAST_ASSIGNED)
     return read.select(
         ROW, "doc_id", "_owner", "_repo",
@@ -97,20 +98,21 @@ def scan(
     repository: Column | None = None,
     max_owners: int = MAX_OWNERS,
     max_repositories: int = MAX_REPOSITORIES,
+    row: Column | None = None,
 ) -> DataFrame:
     """Row id, doc_id, counts of base kinds, base spans and all spans of every row.
 
     `spans` is an array of (start, kind, end, verdict): base spans, and the places of tokens
     judged live, kind 3, that no base span overlaps. The verdict is `live` or `example` or, for base
     spans whose value does not look random, `weak`. The owner is `source` and the repository
-    `doc_id` unless columns are given; rows without an owner count as one owner, as do those
+    `doc_id` unless columns are given; `row` may give an id that is unique. Rows without an owner count as one owner, as do those
     without a repository. A null text counts as empty. Rows may repeat. Other columns are not
     read. No rows give no rows.
     """
     owner = F.col("source") if owner is None else owner
     repository = F.col("doc_id") if repository is None else repository
     # Written once: row ids are fixed and texts left behind.
-    found = materialise(with_candidates(docs, owner, repository))
+    found = materialise(with_candidates(docs, owner, repository, row))
     kinds = (("_assign", 0), ("_access", 1), ("_hex", 2), ("_tokens", 3))
 
     def tagged(name: str, kind: int) -> Column:
@@ -190,12 +192,13 @@ def redact(docs: DataFrame, mark: str = "[secret]", **options: object) -> DataFr
 
     All rows and other columns stay.
     """
-    numbered = materialise(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    spans = scan(numbered, **options).select(
+    numbered = whole_rows(docs)
+    read = numbered.select("_doc.doc_id", "_doc.text", "_doc.source", ROW)
+    spans = scan(read, row=F.col(ROW), **options).select(
         ROW, F.filter("spans", lambda s: s["verdict"] != "example").alias("_spans")
     )
     spans = materialise(spans.filter(F.size("_spans") > 0))
-    text = text_of()
+    text = F.coalesce(F.col("_doc.text"), F.lit(""))
 
     def step(state: Column, s: Column) -> Column:
         # Spans are in order of their start; one that lies within an earlier one adds nothing.
@@ -210,9 +213,8 @@ def redact(docs: DataFrame, mark: str = "[secret]", **options: object) -> DataFr
         "_spans", start, step,
         lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))),
     )
-    redacted = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(rest)
-    columns = [c if c != "text" else redacted.alias("text") for c in docs.columns]
-    return numbered.join(spans, ROW, "left").select(*columns)
+    redacted = F.when(F.col("_spans").isNull(), F.col("_doc.text")).otherwise(rest)
+    return numbered.join(spans, ROW, "left").select(*fields_of(numbered, {"text": redacted}))
 
 
 def _sql_matches(kind: str, pattern: str, group: int = 0) -> str:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import ROW, bounded_batches, text_of
+from wayfare.llm.common import ROW, bounded_batches, fields_of, text_of, whole_rows
 from wayfare.llm.components import connected_components
 from wayfare.session import materialise
 
@@ -253,11 +253,10 @@ def near_duplicates(
     shingle: int = SHINGLE,
     radius: int = RADIUS,
     keep: tuple[str, ...] = (),
-    group: str = "_group",
 ) -> DataFrame:
-    """doc_id, `keep` columns, _fp (signed fingerprint), `group` and component_id of every row.
+    """doc_id, `keep` columns, _fp (signed fingerprint), _group and component_id of every row.
 
-    `group` numbers the components, by the smallest of their signed fingerprints.
+    `_group` numbers the components, by the smallest of their signed fingerprints.
 
     component_id is the smallest doc_id of all rows linked directly or through others. A null
     text has no words, like an empty one: fingerprint zero, linked like any other. Rows without
@@ -279,9 +278,9 @@ def near_duplicates(
         )
     )
     smallest = materialise(named.groupBy("_root").agg(F.min("_first").alias("component_id")))
-    ids = named.join(smallest, "_root").select("_fp", F.col("_root").alias(group), "component_id")
+    ids = named.join(smallest, "_root").select("_fp", F.col("_root").alias("_group"), "component_id")
     ids = materialise(ids)
-    return marked.join(ids, "_fp").select("doc_id", *keep, "_fp", group, "component_id")
+    return marked.join(ids, "_fp").select("doc_id", *keep, "_fp", "_group", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -290,10 +289,11 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
     It is the row of the smallest doc_id, one without doc_id only where none has any; of equal
     ones any single row.
     """
-    numbered = materialise(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    found = materialise(near_duplicates(numbered, shingle, radius, keep=(ROW,), group="_root"))
-    first = found.groupBy("_root").agg(
+    numbered = whole_rows(docs)
+    read = numbered.select(ROW, "_doc.doc_id", "_doc.text")
+    found = materialise(near_duplicates(read, shingle, radius, keep=(ROW,)))
+    first = found.groupBy("_group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", ROW)).alias("_first")
     )
     first = materialise(first.select(F.col(f"_first.{ROW}").alias(ROW)))
-    return numbered.join(first, ROW, "left_semi").select(*docs.columns)
+    return numbered.join(first, ROW, "left_semi").select(*fields_of(numbered))

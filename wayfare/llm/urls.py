@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wayfare.llm.common import fields_of, quoted
 from wayfare.session import materialise
 
 # Days per period of the equi-join.
@@ -92,10 +93,11 @@ def blocked(
     url or no host meets no entry. Rows may repeat. A column of these names in `captures` is
     replaced. No captures or no entries give no matches.
     """
-    own = [c for c in captures.columns if c not in ("host", "n_entries", "categories", "since")]
+    captures = captures.drop("host", "n_entries", "categories", "since")
+    url, day = (F.col(quoted(c)) for c in (url_column, day_column))
     marked = captures.select(
-        *own, host_of(F.col(url_column)).alias("_host"), path_of(F.col(url_column)).alias("_path"),
-        F.col(day_column).cast("date").alias("_day"),
+        F.struct(*(F.col(quoted(c)) for c in captures.columns)).alias("_doc"),
+        host_of(url).alias("_host"), path_of(url).alias("_path"), day.cast("date").alias("_day"),
     )
     valid = materialise(intervals(entries))
     # The deepest prefix on the list bounds how many keys a long path has.
@@ -135,7 +137,7 @@ def blocked(
         )
     )
     return marked.join(decided, ["_host", "_path", "_day"], "left").select(
-        *own, F.col("_host").alias("host"), F.coalesce("n_entries", F.lit(0)).alias("n_entries"),
+        *fields_of(marked), F.col("_host").alias("host"), F.coalesce("n_entries", F.lit(0)).alias("n_entries"),
         F.coalesce("categories", F.lit("")).alias("categories"), "since",
     )
 

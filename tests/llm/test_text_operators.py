@@ -334,7 +334,7 @@ def test_plans_place_every_piece_once(seed):
     ][seed]
     lengths = [draw() for _ in range(1500)]
     histogram = Counter(lengths)
-    runs = packing.plan_sequences(histogram, 128, groups=12)
+    runs = packing.plan_sequences(histogram, 128)
     indices = defaultdict(list)
     for run in runs:
         assert run.free == 128 - sum(n * places for n, _, places in run.items) >= 0

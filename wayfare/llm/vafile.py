@@ -59,7 +59,7 @@ def blocks(rows: DataFrame, block_rows: int, cells: int = CELLS) -> DataFrame:
     """Blocks of (id, vector) rows as they are scanned; vectors of one length per block."""
 
     def block(ids: list[int], vectors: list[np.ndarray]) -> tuple:
-        matrix = np.array(vectors, np.int64).reshape(len(ids), -1)
+        matrix = np.array(vectors, np.int64).reshape(len(ids), len(vectors[0]))
         low = matrix.min(0) if matrix.size else np.zeros(0, np.int64)
         span = matrix.max(0).astype(object) - low if matrix.size else np.zeros(0, np.int64)
         width = np.maximum(1, np.array([-(-(int(s) + 1) // cells) for s in span], np.int64))
@@ -100,8 +100,9 @@ class Block:
     def __init__(self, row: dict):
         dim = row["dim"]
         self.ids = np.frombuffer(row["ids"], np.int64)
-        self.vectors = np.frombuffer(row["vectors"], np.int64).reshape(-1, dim)
-        self.cells = np.frombuffer(row["cells"], np.uint8).reshape(-1, dim)
+        self.vectors = np.frombuffer(row["vectors"], np.int64).reshape(len(self.ids), dim)
+        # A block of queries has no cells.
+        self.cells = np.frombuffer(row["cells"], np.uint8).reshape(-1, dim or 1)
         self.lows = np.frombuffer(row["lows"], np.int64)
         self.widths = np.frombuffer(row["widths"], np.int64)
 
@@ -112,7 +113,7 @@ class Block:
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """The highest score that each query can have with any vector of each row's cells."""
-        low = self.lows + self.cells * self.widths
+        low = self.lows + self.cells.reshape(self.vectors.shape) * self.widths
         high = low + self.widths - 1
         return (
             np.maximum(queries, 0).astype(float) @ high.T.astype(float)

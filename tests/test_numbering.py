@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from wayfare.operators import joins, numbering
 
-SMALL = {"row_limit": 50, "bits": 3, "cell_rows": 16}
+SMALL = {"row_limit": 50, "bits": 3}
+SMALL_CELLS = {**SMALL, "cell_rows": 16}
 
 
 def rows_of(df):
@@ -40,6 +41,29 @@ def test_surrogate_key(spark, keys, limits):
     assert_numbered(numbering.surrogate_key(df, "key", "sk", ("v",), **limits), df, "key")
 
 
+@pytest.mark.parametrize("keys", KEYS)
+def test_ties_decide_at_every_size(spark, keys):
+    df = spark.range(1000).select(
+        F.expr(KEYS[keys]).alias("key"), (F.col("id") * 37 % 11).alias("v"), (-F.col("id")).alias("w")
+    )
+    few, many = (
+        rows_of(numbering.surrogate_key(df, "key", "sk", ("v", "w"), row_limit=limit, bits=3))
+        for limit in (50, 10_000)
+    )
+    assert few == many
+
+
+@pytest.mark.parametrize("sides", ["hot on both", "hot on the left"])
+def test_ties_of_a_join_decide_at_every_size(spark, sides):
+    left, right = two_sides(spark, *SIDES[sides])
+    few, many = (
+        rows_of(numbering.numbered_left_join(
+            left, right, "key", "sk", ("r", "l"), row_limit=limit, bits=3, cell_rows=16))
+        for limit in (50, 1_000_000)
+    )
+    assert few == many
+
+
 def test_identical_copies_are_all_numbered(spark):
     df = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, 8).otherwise(F.col("id")).alias("key"), F.lit("same").alias("v")
@@ -88,7 +112,7 @@ SIDES = {
 }
 
 
-@pytest.mark.parametrize("limits", [{}, SMALL], ids=["default limits", "small limits"])
+@pytest.mark.parametrize("limits", [{}, SMALL_CELLS], ids=["default limits", "small limits"])
 @pytest.mark.parametrize("sides", SIDES)
 def test_numbered_left_join(spark, sides, limits):
     left, right = two_sides(spark, *SIDES[sides])

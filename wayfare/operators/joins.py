@@ -57,7 +57,8 @@ def cell_sides(
     """
     left = materialise(left.withColumn(LEFT_SLOT, F.monotonically_increasing_id()))
     right = materialise(right.withColumn(RIGHT_SLOT, F.monotonically_increasing_id()))
-    grid = broadcast_if_small(_grid(left, right, key, cell_rows))
+    # Written once: it is counted here and joined to both sides.
+    grid = broadcast_if_small(materialise(_grid(left, right, key, cell_rows)))
 
     def in_cells(df: DataFrame, slot: str, own: str, own_slices: str, other: str, others: str):
         ways = df.join(grid, key, "left")
@@ -85,15 +86,6 @@ def join_cells(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return joined.filter((F.col("_b") == 1) | F.col(RIGHT_SLOT).isNotNull()).drop("_a", "_b")
 
 
-def cell_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """(bucket, key, cell, _rows) of what `join_cells` yields, without joining any rows."""
-    lefts = left.groupBy(BUCKET, key, *CELL, "_b").agg(F.count(F.lit(1)).alias("_l"))
-    rights = right.groupBy(key, *CELL).agg(F.count(F.lit(1)).alias("_r"))
-    partners = F.coalesce("_r", F.when(F.col("_b") == 1, 1).otherwise(0))
-    rows = lefts.join(rights, [key, *CELL], "left").withColumn("_rows", F.col("_l") * partners)
-    return rows.select(BUCKET, key, *CELL, "_rows")
-
-
 def left_join(
     left: DataFrame,
     right: DataFrame,

@@ -7,8 +7,8 @@ sums over the bucket counts, taken level by level over ever wider buckets: every
 the way spans at most 2**18 counts, and the last one at most 2**16, whatever the keys are.
 
 A bucket can hold many rows only if keys repeat. Buckets above ROW_LIMIT rows go another
-way: their rows are written once, which fixes their order, and are numbered in cells of
-bounded size, so one key may hold any share of the table.
+way: their rows are range-partitioned by key, ties and written position, so one key may hold any
+share of the table, and numbered by partition and place. The order is the same either way.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayfare.operators.joins import (
-    BUCKET, BUCKET_BITS, CELL, CELL_ROWS, LEFT_SLOT, NO_KEY, RIGHT_SLOT, ROW_LIMIT, bucket_of,
-    cell_counts, cell_sides, join_cells,
+    BUCKET, BUCKET_BITS, CELL, CELL_ROWS, LEFT_SLOT, RIGHT_SLOT, ROW_LIMIT, bucket_of, cell_sides,
+    join_cells,
 )
 from wayfare.session import broadcast_if_small, materialise, materialise_with
 
@@ -105,34 +105,30 @@ def number_light(
     )
 
 
-def number_cells(
-    rows: DataFrame,
-    counts: DataFrame,
-    plan: BucketPlan,
-    key: str,
-    cell: Sequence[str],
-    order: Sequence[str],
-    name: str,
+def number_ranges(
+    rows: DataFrame, plan: BucketPlan, key: str, order: Sequence[str], name: str
 ) -> DataFrame:
-    """Number rows of repeated keys, given (bucket, key, cell, _rows) of each cell.
+    """Number rows of heavy buckets in the order of the key, then of `order`.
 
-    Rows are in key order, then in cell order. `order` is unique within a cell.
+    `order` ends in columns that tell all rows apart, so a range partition can be cut within a
+    key and even within equal ties. Rows are written sorted, with their place. What is summed up
+    afterwards is one count per partition and one per heavy bucket.
     """
-    keys = counts.groupBy(BUCKET, key).agg(F.sum("_rows").alias("_rows"))
-    key_starts = keys.join(plan.starts, BUCKET).select(
-        key, (F.col("_start") + _before([BUCKET], [key])).alias("_key_start")
-    )
-    starts = (
-        counts.select(key, *cell, _before([key], cell).alias("_inside"))
-        .join(key_starts, key)
-        .select(key, *cell, (F.col("_key_start") + F.col("_inside")).alias("_start"))
+    by = [F.asc_nulls_last(key), *order]
+    ranged = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = materialise(
+        ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
     )
-    place = F.row_number().over(Window.partitionBy(key, *cell).orderBy(*order))
+    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_0"))
+    offsets = parts.select("_part", (_before([], ["_part"]) - F.col("_0")).alias("_offset"))
+    counts = placed.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_rows"))
+    buckets = bucket_starts(counts).withColumnRenamed("_start", "_heavy").join(plan.starts, BUCKET)
+    shift = buckets.select(BUCKET, (F.col("_start") - F.col("_heavy") + 1).alias("_shift"))
     return (
-        rows.withColumn("_place", place)
-        .join(starts, [key, *cell])
-        .withColumn(name, F.col("_start") + F.col("_place"))
-        .drop("_place", "_start", BUCKET, *cell, *order)
+        placed.join(F.broadcast(offsets), "_part")
+        .join(broadcast_if_small(shift), BUCKET)
+        .withColumn(name, F.col("_at") + F.col("_offset") + F.col("_shift"))
+        .drop("_part", "_at", "_offset", "_shift", BUCKET)
     )
 
 
@@ -143,14 +139,12 @@ def surrogate_key(
     ties: Sequence[str] = (),
     row_limit: int = ROW_LIMIT,
     bits: int = BUCKET_BITS,
-    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Number all rows 1, 2, 3 … in the order of an integer key, rows without a key last.
 
-    Rows with equal keys follow `ties`; in buckets above `row_limit` rows they follow any
-    order.
+    Rows with equal keys follow `ties`, however many they are.
     """
-    return _numbered(df, key, name, ties, row_limit, bits, cell_rows)[0]
+    return _numbered(df, key, name, ties, row_limit, bits)[0]
 
 
 def in_key_order(
@@ -175,7 +169,6 @@ def _numbered(
     ties: Sequence[str] = (),
     row_limit: int = ROW_LIMIT,
     bits: int = BUCKET_BITS,
-    cell_rows: int = CELL_ROWS,
 ) -> tuple[DataFrame, int]:
     """The numbered rows, and how many there are."""
     bucketed = df.withColumn(BUCKET, bucket_of(F.col(key), bits))
@@ -184,16 +177,11 @@ def _numbered(
     light = number_light(plan.light_rows(bucketed).repartition(BUCKET), plan, key, name, ties)
     if plan.heavy is None:
         return light, plan.rows
-    # Neighbouring positions of a written file share the upper part of the slot.
     placed = materialise(
-        plan.heavy_rows(bucketed)
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .withColumn("_chunk", F.floor(F.col("_slot") / cell_rows))
-        .withColumn("_key", F.coalesce(F.col(key).cast("bigint"), F.lit(NO_KEY)))
+        plan.heavy_rows(bucketed).withColumn("_slot", F.monotonically_increasing_id())
     )
-    cells = placed.groupBy(BUCKET, "_key", "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = number_cells(placed, cells, plan, "_key", ["_chunk"], ["_slot"], name)
-    return light.unionByName(heavy.drop("_key")), plan.rows
+    heavy = number_ranges(placed, plan, key, (*ties, "_slot"), name)
+    return light.unionByName(heavy.drop("_slot")), plan.rows
 
 
 def numbered_left_join(
@@ -224,11 +212,9 @@ def numbered_left_join(
     sides = cell_sides(
         plan.heavy_rows(left), plan.heavy_rows(right).drop(BUCKET), key, cell_rows
     )
-    heavy = number_cells(
-        join_cells(*sides, key), cell_counts(*sides, key), plan, key, CELL,
-        (LEFT_SLOT, RIGHT_SLOT), name,
-    )
-    return light.unionByName(heavy)
+    cells = join_cells(*sides, key).drop(*CELL)
+    heavy = number_ranges(cells, plan, key, (*ties, LEFT_SLOT, RIGHT_SLOT), name)
+    return light.unionByName(heavy.drop(LEFT_SLOT, RIGHT_SLOT))
 
 
 def _join_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

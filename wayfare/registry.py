@@ -381,6 +381,56 @@ def numbered_trips(fx: Fixture) -> DataFrame:
     return surrogate_key(rows, "trip_id", "trip_sk", ("user_id", "requested_at"))
 
 
+# One trip id holds a third of all trips, and rows that tie on the first column as well.
+_HOT_TRIPS = """
+SELECT CASE WHEN user_id % 3 = 0 THEN 77 ELSE trip_id END AS trip_id, trip_id AS first_id,
+  user_id % 10 AS user_group, requested_at FROM trips"""
+
+
+@query(f"""
+SELECT *, ROW_NUMBER() OVER (
+  ORDER BY trip_id NULLS LAST, user_group, requested_at, first_id NULLS FIRST) AS trip_sk
+FROM ({_HOT_TRIPS})""")
+def surrogate_key_hot(fx: Fixture) -> DataFrame:
+    """With a limit that sends the repeated key through the path for heavy buckets."""
+    rows = fx.trips.select(
+        F.when(F.col("user_id") % 3 == 0, 77).otherwise(F.col("trip_id")).alias("trip_id"),
+        F.col("trip_id").alias("first_id"), (F.col("user_id") % 10).alias("user_group"),
+        "requested_at",
+    )
+    ties = ("user_group", "requested_at", "first_id")
+    return surrogate_key(rows, "trip_id", "trip_sk", ties, row_limit=200)
+
+
+_MERGED = "(SELECT * REPLACE (CASE WHEN trip_id % 50 = 0 THEN 50 ELSE trip_id END AS trip_id) FROM {})"
+
+
+@query(f"""
+SELECT * EXCLUDE (requested_at), ROW_NUMBER() OVER (ORDER BY trip_id, requested_at, user_id, driver_id,
+    net_amount_egp NULLS FIRST, payment_provider NULLS FIRST, promo_code NULLS FIRST,
+    discount_egp NULLS FIRST) AS fct_trip_sk
+FROM (
+  SELECT t.trip_id, user_id, driver_id, requested_at, provider AS payment_provider, promo_code,
+    {_as_double("net_amount_egp", "discount_egp")}
+  FROM {_MERGED.format("clean_trips")} t LEFT JOIN {_MERGED.format("clean_payments")} p
+    ON t.trip_id = p.trip_id)""")
+def fct_trips_hot(fx: Fixture) -> DataFrame:
+    """One trip id stands for a fiftieth of the trips and of the payments: joined in cells."""
+
+    def merged(df: DataFrame) -> DataFrame:
+        hot = F.when(F.col("trip_id") % 50 == 0, 50).otherwise(F.col("trip_id"))
+        return df.withColumn("trip_id", hot.cast(df.schema["trip_id"].dataType))
+
+    fact = marts.fct_trips(
+        merged(_clean_trips(fx)), merged(_clean_payments(fx)), AS_OF, row_limit=300
+    )
+    return fact.select(
+        "trip_id", "user_id", "driver_id", "net_amount_egp", "payment_provider", "promo_code",
+        "discount_egp", "fct_trip_sk",
+    )
+
+
+
 @query(f"SELECT {_FACT}, STRFTIME(trip_date, '%Y-%m') AS trip_month FROM fact")
 def gold_by_month(fx: Fixture) -> DataFrame:
     fact = _fact(fx).withColumn("trip_month", F.date_format("trip_date", "yyyy-MM"))

@@ -107,9 +107,41 @@ def test_late_events_without_and_with_a_tolerance(spark):
         assert stream.counts() == {"00:00": first_window, "01:00": 1}
 
 
+def checkpoint_of(spark, run):
+    path = shared_dir(spark)
+    lines = spark.createDataFrame([(f'{{"id":"{run}"}}',)], "value string")
+    lines.coalesce(1).write.text(f"{path}/metadata")
+    return path
+
+
+def test_a_new_checkpoint_keeps_what_was_written(spark):
+    path = shared_dir(spark)
+    events = [GOOD % (i, "10", f"{i:02d}:01:00") for i in range(20)]
+    log = windows.zone_windows(windows.parse_events(records(spark, events)))
+    sinks.batch_writer(path, checkpoint_of(spark, "one"))(log.repartition(8), 0)
+    later = windows.zone_windows(windows.parse_events(records(spark, events[:1] * 3)))
+    sinks.batch_writer(path, checkpoint_of(spark, "two"))(later, 0)
+    stored = sinks.read_window_log(spark, path)
+    newest = windows.newest_versions(stored).collect()
+    assert sorted(row.trip_count for row in newest) == [1] * 19 + [3]
+    assert len(stored.inputFiles()) == 2
+
+
+def test_no_amount_is_lost_or_stops_the_stream(spark):
+    fares = ["100000000", "10000000000000", "-7.5", '"NaN"', '"Infinity"', "1e30", "null", "3"]
+    event = (
+        '{"event_type":"trip_completed","trip_id":%d,"driver_id":1,"fare_egp":%s,'
+        '"distance_km":2,"zone_id":1,"timestamp":"2024-01-01T00:01:00Z"}'
+    )
+    lines = [event % (i, fare) for i, fare in enumerate(fares)]
+    row = windows.zone_windows(windows.parse_events(records(spark, lines))).first()
+    assert row.trip_count == len(fares) and row.unusable_values == 3
+    assert float(row.total_revenue_egp) == 1e8 + 1e13 - 7.5 + 3
+
+
 def test_empty_batches_write_nothing_and_retries_overwrite(spark):
     path = shared_dir(spark)
-    write = sinks.batch_writer(path)
+    write = sinks.batch_writer(path, checkpoint_of(spark, "one"))
     batch = windows.zone_windows(
         windows.parse_events(records(spark, [GOOD % (1, "10", "00:01:00")]))
     )
@@ -122,7 +154,7 @@ def test_empty_batches_write_nothing_and_retries_overwrite(spark):
 
 def test_a_batch_repeated_into_a_table_counts_once(spark):
     log = ParquetTable(shared_dir(spark), schemas.ZONE_WINDOW_LOG)
-    write = sinks.batch_writer(log)
+    write = sinks.batch_writer(log, checkpoint_of(spark, "one"))
     batch = windows.zone_windows(
         windows.parse_events(records(spark, [GOOD % (1, "10", "00:01:00")]))
     )

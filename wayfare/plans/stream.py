@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.operators import health
+from wayfare.session import configure
 from wayfare.sources import targets
 from wayfare.sources.targets import Table
 from wayfare.streaming import sinks, windows
@@ -25,6 +26,7 @@ def run_stream(
     trigger_seconds: int | None = sinks.TRIGGER_SECONDS,
 ) -> StreamingQuery:
     """Aggregate a stream of broker records into the window log, a folder or a table."""
+    configure(records.sparkSession)
     aggregated = windows.zone_windows(
         windows.parse_events(records), late_tolerance=late_tolerance
     )
@@ -42,9 +44,11 @@ def run_monitor(
 
     Stale or missing data is a status, not a failure.
     """
+    spark = configure(log.sparkSession)
     state = health.stream_health(log, as_of)
+    run_id = uuid.uuid4().hex
     row = health.audit_row(
-        state, F.col("recent_rows"), F.col("status"), uuid.uuid4().hex, name, started_at, as_of
+        state, F.col("recent_rows"), F.col("status"), run_id, name, started_at, as_of
     )
     targets.append(row, audit)
-    return row
+    return audit.read(spark).filter(F.col("run_id") == run_id)

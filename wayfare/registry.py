@@ -83,7 +83,8 @@ SELECT TIME_BUCKET(INTERVAL 5 MINUTE, event_time) AS window_start,
   CAST((2 * CAST(SUM(CAST(fare_egp AS DECIMAL(18,2))) * 100 AS HUGEINT) + COUNT(fare_egp))
     // (2 * COUNT(fare_egp)) AS DOUBLE) / 100 AS avg_fare_egp,
   CAST((2 * CAST(SUM(CAST(distance_km AS DECIMAL(18,2))) * 100 AS HUGEINT) + COUNT(distance_km))
-    // (2 * COUNT(distance_km)) AS DOUBLE) / 100 AS avg_distance_km
+    // (2 * COUNT(distance_km)) AS DOUBLE) / 100 AS avg_distance_km,
+  CAST(0 AS BIGINT) AS unusable_values
 FROM trip_events WHERE event_type = 'trip_completed' AND event_time IS NOT NULL
 GROUP BY 1, 2, 3""",
 }
@@ -634,7 +635,7 @@ def dq_payment_balance(fx: Fixture) -> DataFrame:
 
 _WINDOW = (
     "window_start, window_end, zone_id, trip_count, total_revenue_egp, avg_fare_egp,"
-    " avg_distance_km"
+    " avg_distance_km, unusable_values"
 )
 
 
@@ -707,6 +708,17 @@ def stream_late_data(fx: Fixture) -> DataFrame:
     return windows.newest_versions(log).drop("processed_at")
 
 
+@query(f"SELECT {_WINDOW} FROM zone_log")
+def stream_new_checkpoint(fx: Fixture) -> DataFrame:
+    """Half of the events under one checkpoint, then all of them under a new one, same log."""
+    arrivals = _Arrivals(fx)
+    for second_wave in (False, True):
+        arrivals.land(second_wave, ODD)
+        checkpoint = shared_dir(fx.spark)
+        run_stream(arrivals.stream(), arrivals.log, checkpoint, trigger_seconds=None).awaitTermination()
+    return windows.newest_versions(sinks.read_window_log(fx.spark, arrivals.log)).drop("processed_at")
+
+
 @query(f"""
 SELECT {_WINDOW} FROM zone_log
 QUALIFY ROW_NUMBER() OVER (PARTITION BY zone_id ORDER BY window_start DESC) = 1""")
@@ -724,7 +736,7 @@ WHERE EXISTS (SELECT 1 FROM trip_events e WHERE e.event_id % 2 = 1
 ORDER BY window_start DESC, zone_id NULLS LAST LIMIT 10""")
 def latest_windows_top10(fx: Fixture) -> DataFrame:
     log = _Arrivals(fx).window_log(ODD)
-    return reports.latest_windows(log).drop("processed_at", "batch_id")
+    return reports.latest_windows(log).drop("processed_at", "run", "batch_id")
 
 
 _HEALTH = f"""

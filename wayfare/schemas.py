@@ -112,8 +112,9 @@ BROKER_RECORD = schema(
 
 ZONE_WINDOW_LOG = schema(
     window_start=_INSTANT, window_end=_INSTANT, zone_id=_INT, trip_count=_LONG,
-    total_revenue_egp=DecimalType(14, 2), avg_fare_egp=_MONEY, avg_distance_km=_DISTANCE,
-    processed_at=_INSTANT, batch_id=_LONG,
+    total_revenue_egp=DecimalType(32, 2), avg_fare_egp=DecimalType(24, 2),
+    avg_distance_km=DecimalType(24, 2), unusable_values=_LONG, processed_at=_INSTANT, run=_TEXT,
+    batch_id=_LONG,
 )
 
 AUDIT = schema(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -14,24 +16,36 @@ from wayfare.session import read_if_present
 from wayfare.sources.targets import Table, append
 
 TRIGGER_SECONDS = 60
+ROWS_PER_FILE = 1_000_000
 
 
-def batch_writer(sink: str | Table) -> Callable[[DataFrame, int], None]:
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that a checkpoint belongs to; a new checkpoint has a new one."""
+    stored = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
+    return json.loads(stored[0])["id"]
+
+
+def batch_writer(sink: str | Table, checkpoint: str) -> Callable[[DataFrame, int], None]:
     """A micro-batch writer that skips empty batches and may be repeated.
 
-    Below a path each batch owns one folder, and a retry overwrites it. In a table a retry
-    appends the batch again under its number; `newest_versions` keeps one row of them.
+    Below a path each batch of each run owns one folder, and a retry overwrites it; runs never
+    touch each other's. In a table a retry appends the batch again under its run and number;
+    `newest_versions` keeps one row of them. A batch is written in few files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
+            rows = batch.count()
+            if not rows:
                 return
+            run = run_of(batch.sparkSession, checkpoint)
+            few = batch.coalesce(math.ceil(rows / ROWS_PER_FILE))
             if isinstance(sink, str):
-                batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+                few.write.mode("overwrite").parquet(f"{sink}/run={run}/batch_id={batch_id}")
             else:
-                append(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), sink)
+                marks = {"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")}
+                append(few.withColumns(marks), sink)
         finally:
             batch.unpersist()
 
@@ -49,7 +63,9 @@ def start_zone_stream(
     `trigger_seconds=None` works off what has arrived and stops. `checkpoint` must be on
     storage that outlives the driver; a restart with the same folder goes on where it ended.
     """
-    writer = windows.writeStream.outputMode("update").foreachBatch(batch_writer(sink))
+    writer = windows.writeStream.outputMode("update").foreachBatch(
+        batch_writer(sink, checkpoint)
+    )
     writer = writer.option("checkpointLocation", checkpoint)
     if trigger_seconds is None:
         writer = writer.trigger(availableNow=True)

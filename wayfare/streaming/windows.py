@@ -28,8 +28,17 @@ def parse_events(records: DataFrame) -> DataFrame:
     )
 
 
+# Fares and distances of 18 digits before the point: 10**10 of them add up without overflow.
+MEASURE = "decimal(24,6)"
+
+
 def _measure(name: str) -> Column:
-    return F.col(name).try_cast("decimal(18,6)")
+    return F.col(name).try_cast(MEASURE)
+
+
+def _unusable(name: str) -> Column:
+    """Values that are there but are no finite number of the size of a measure."""
+    return F.col(name).isNotNull() & _measure(name).isNull()
 
 
 def _mean(name: str) -> Column:
@@ -44,7 +53,8 @@ def zone_windows(
 ) -> DataFrame:
     """Completed trips per 5-minute window and zone, for a stream or a batch frame.
 
-    Events without a zone form a group; events without a time are in no window.
+    Events without a zone form a group; events without a time are in no window. Fares and
+    distances that are no usable number add nothing and are counted in `unusable_values`.
     `late_tolerance=None` takes every late event and keeps all state. A tolerance drops
     windows from the state once the stream is that far ahead, with events that come later.
     """
@@ -56,24 +66,28 @@ def zone_windows(
         completed.groupBy(F.window("event_time", WINDOW), "zone_id")
         .agg(
             F.count("trip_id").alias("trip_count"),
-            F.sum(_measure("fare_egp")).cast("decimal(14,2)").alias("total_revenue_egp"),
-            _mean("fare_egp").cast("decimal(10,2)").alias("avg_fare_egp"),
-            _mean("distance_km").cast("decimal(8,2)").alias("avg_distance_km"),
+            F.sum(_measure("fare_egp")).cast("decimal(32,2)").alias("total_revenue_egp"),
+            _mean("fare_egp").cast("decimal(24,2)").alias("avg_fare_egp"),
+            _mean("distance_km").cast("decimal(24,2)").alias("avg_distance_km"),
+            F.sum(
+                _unusable("fare_egp").cast("bigint") + _unusable("distance_km").cast("bigint")
+            ).alias("unusable_values"),
         )
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
             "zone_id", "trip_count", "total_revenue_egp", "avg_fare_egp", "avg_distance_km",
-            stamp.alias("processed_at"),
+            "unusable_values", stamp.alias("processed_at"),
         )
     )
 
 
 def newest_versions(log: DataFrame) -> DataFrame:
-    """One row per window and zone: the version that the latest micro-batch wrote.
+    """One row per window and zone: the version that was written last.
 
-    The log holds a row for each time a window changed, so its rows must not be summed.
+    Batches are numbered from 0 again under a new checkpoint, so the time of processing decides
+    first. The log holds a row for each time a window changed, so its rows must not be summed.
     """
-    measures = [c for c in log.columns if c not in (*WINDOW_KEYS, "batch_id")]
-    newest = F.max_by(F.struct(*measures), "batch_id").alias("newest")
+    measures = [c for c in log.columns if c not in (*WINDOW_KEYS, "run", "batch_id")]
+    newest = F.max_by(F.struct(*measures), F.struct("processed_at", "batch_id")).alias("newest")
     return log.groupBy(*WINDOW_KEYS).agg(newest).select(*WINDOW_KEYS, "newest.*")

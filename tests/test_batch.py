@@ -100,6 +100,32 @@ def test_incremental_run_replaces_only_its_days(spark, sources):
     assert new.agg(F.min("fct_trip_sk")).first()[0] > old.agg(F.max("fct_trip_sk")).first()[0]
 
 
+def test_incremental_run_within_a_day_equals_a_full_load(spark, sources):
+    """Payments of the first night, trips whose zone became unknown, a day without trips."""
+    as_of = datetime(2001, 8, 1, 1)
+    created = F.col("created_at") - (F.col("created_at") - F.date_trunc("day", "created_at"))
+    payments = sources.payments.withColumn("created_at", created + F.expr("INTERVAL '30' MINUTE"))
+    warehouse = Warehouse.at(shared_dir(spark))
+    run_batch(spark, Sources(sources.trips, sources.drivers, sources.zones, payments), warehouse,
+              as_of, lookback_hours=None)
+    zone = F.when(F.col("requested_at") >= "2001-07-30", 9999).otherwise(F.col("pickup_zone_id"))
+    changed = sources.trips.withColumn("pickup_zone_id", zone.cast("int"))
+    later = Sources(changed, sources.drivers, sources.zones, payments)
+    run_batch(spark, later, warehouse, as_of, lookback_hours=72, incremental=True)
+    full = Warehouse.at(shared_dir(spark))
+    run_batch(spark, later, full, as_of, lookback_hours=None)
+    found, expected = (
+        Counter(map(tuple, w.fct_trips.read(spark).drop("fct_trip_sk", "_dbt_loaded_at").collect()))
+        for w in (warehouse, full)
+    )
+    before = {row for row in expected if str(row[8]) < "2001-07-29"}
+    assert {row for row in found if str(row[8]) < "2001-07-29"} == before
+    fact = warehouse.fct_trips.read(spark)
+    assert fact.filter("trip_date >= '2001-07-30'").isEmpty()
+    assert fact.select("fct_trip_sk").distinct().count() == fact.count()
+    assert sum(found.values()) == sum(expected.values())
+
+
 def test_append_repeats_rows_and_refresh_replaces_them(spark):
     df = spark.range(10)
     table = ParquetTable(shared_dir(spark), df.schema)

@@ -105,7 +105,7 @@ def test_shuffle_size_follows_the_input_and_is_never_lowered(spark):
         configure(spark, 1 << 30)
         assert spark.conf.get(initial) == "4096"
         configure(spark, 100 << 40)
-        assert spark.conf.get(initial) == "32768"
+        assert spark.conf.get(initial) == "409600"
     finally:
         spark.conf.unset(initial)
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)

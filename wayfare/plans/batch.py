@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from wayfare import schemas
 from wayfare.operators import extract, health, marts, reports, staging
-from wayfare.session import broadcast_if_small
+from wayfare.session import broadcast_if_small, configure, planned_bytes
 from wayfare.sources import targets
 from wayfare.sources.targets import ParquetTable, Table
 
@@ -74,18 +74,23 @@ def run_batch(
     `incremental=True` looks back to the start of a day and replaces only the days it covers,
     so earlier days stay in gold; it needs the fact in partitioned files.
     """
+    configure(spark, planned_bytes(sources.trips, sources.payments))
     if incremental and not isinstance(warehouse.fct_trips, ParquetTable):
         raise ValueError("only a fact stored in partitioned files can be refreshed by day")
     # A database reports no table sizes, so the optimiser needs to be told that zones are few.
     zones = broadcast_if_small(sources.zones)
+    since = None
     if incremental and lookback_hours is not None:
         start = as_of - timedelta(hours=lookback_hours)
-        midnight = start.replace(hour=0, minute=0, second=0, microsecond=0)
-        trips = sources.trips.filter(F.col("requested_at") >= extract.moment(midnight))
+        since = start.replace(hour=0, minute=0, second=0, microsecond=0)
+        # Days are replaced as a whole, so trips and payments have one cut-off: a midnight.
+        trips = sources.trips.filter(F.col("requested_at") >= extract.moment(since))
         trips = extract.trips_with_zones(trips, zones)
+        payments = sources.payments.filter(F.col("created_at") >= extract.moment(since))
+        payments = extract.extract_payments(payments, as_of, None)
     else:
         trips = extract.extract_trips(sources.trips, zones, as_of, lookback_hours)
-    payments = extract.extract_payments(sources.payments, as_of, lookback_hours)
+        payments = extract.extract_payments(sources.payments, as_of, lookback_hours)
     drivers = extract.drivers_with_zones(sources.drivers, zones)
 
     payment_rows = _stage(payments, warehouse.stg_payments, targets.refresh_unless_empty)
@@ -99,21 +104,23 @@ def run_batch(
 
     targets.full_refresh(marts.dim_drivers(clean_drivers, as_of), warehouse.dim_drivers)
     if incremental:
-        _refresh_days(spark, clean_trips, clean_payments, warehouse.fct_trips, as_of)
+        _refresh_days(spark, clean_trips, clean_payments, warehouse.fct_trips, as_of, since)
     else:
         fact = marts.fct_trips(clean_trips, clean_payments, as_of)
         if isinstance(warehouse.fct_trips, ParquetTable):
             fact = targets.in_partition_layout(fact, "trip_date")
         targets.full_refresh(fact, warehouse.fct_trips)
 
+    run_id = uuid.uuid4().hex
     counts = spark.range(1).select(
         F.lit(payment_rows).alias("payment_rows"), F.lit(trip_rows).alias("trip_rows")
     )
     row = health.audit_row(
-        counts, health.batch_rows_loaded(), F.lit("success"), uuid.uuid4().hex, name, as_of
+        counts, health.batch_rows_loaded(), F.lit("success"), run_id, name, as_of
     )
     targets.append(row, warehouse.audit)
-    return row
+    # The stored row: evaluating `row` again would give another end time.
+    return warehouse.audit.read(spark).filter(F.col("run_id") == run_id)
 
 
 def run_manual_load(spark: SparkSession, sources: Sources, warehouse: Warehouse) -> int:
@@ -155,12 +162,18 @@ def _refresh_days(
     payments: DataFrame,
     table: ParquetTable,
     as_of: datetime,
+    since: datetime | None,
 ) -> None:
-    """Replace the days in `trips`; new rows are numbered after those of the days that stay."""
-    first_day = trips.agg(F.min("trip_date")).first()[0]
-    if first_day is None:
-        return
-    stay = table.read(spark).filter(F.col("trip_date") < F.lit(first_day))
-    last_key = stay.agg(F.coalesce(F.max("fct_trip_sk"), F.lit(0))).first()[0]
+    """Replace the days from `since` on; new rows are numbered after those of the days that stay.
+
+    Without `since` all days are replaced. Days that no longer have a trip go.
+    """
+    stored = table.read(spark)
+    covered = F.lit(True) if since is None else F.col("trip_date") >= F.lit(since.date())
+    last_key = stored.filter(~covered).agg(F.coalesce(F.max("fct_trip_sk"), F.lit(0))).first()[0]
+    days = trips.select("trip_date").distinct()
+    gone = stored.filter(covered).select("trip_date").distinct().join(days, "trip_date", "left_anti")
+    vanished = [row["trip_date"] for row in gone.collect()]  # one row per day at most
     fact = marts.fct_trips(trips, payments, as_of, first_key=last_key + 1)
     targets.refresh_partitions(targets.in_partition_layout(fact, "trip_date"), table)
+    targets.drop_partitions(spark, table, vanished)

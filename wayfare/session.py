@@ -11,15 +11,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# One reduce partition per this many input bytes, up to a count the driver can still track.
+# One reduce partition per this many input bytes.
 BYTES_PER_SHUFFLE_PARTITION = 256 << 20
-MAX_SHUFFLE_PARTITIONS = 32_768
+# What a source without known size reports is far above this.
+UNKNOWN_BYTES = 1 << 60
 # Beyond this input size read larger splits, so that map tasks stay in the hundred thousands.
 LARGE_INPUT_BYTES = 8 << 40
 LARGE_SPLIT = "512m"
 MAX_LISTING_TASKS = 10_000
 # A side is broadcast only after it was counted and found to hold no more rows than this.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 1 << 30
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,7 +47,7 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     # List stored partitions with a few folders per task, not with a task for each folder.
     listers = min(4 * spark.sparkContext.defaultParallelism, MAX_LISTING_TASKS)
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listers))
-    wanted = min(math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION), MAX_SHUFFLE_PARTITIONS)
+    wanted = math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     present = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > present:
@@ -72,6 +74,14 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+def planned_bytes(*frames: DataFrame) -> int:
+    """Bytes the optimiser expects these frames to read; sources of unknown size count nothing."""
+    sizes = (
+        int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in frames
+    )
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below the cluster's shared folder.
 
@@ -113,10 +123,15 @@ def materialise_with(df: DataFrame, **totals: Column) -> tuple[DataFrame, dict[s
     return materialise(df.observe(seen, *columns)), seen.get
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup side for broadcast only if a bounded count shows that it is small.
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Mark a lookup side for broadcast only if its size and a count show that it is small.
 
-    A larger side is left to the optimiser: a sort-merge join whose skewed partitions
-    adaptive execution splits.
+    The count is summed up from counts of the partitions. The optimiser's estimate bounds the bytes,
+    where it knows them. A larger side is left to the optimiser: a
+    sort-merge join whose skewed partitions adaptive execution splits.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if max_bytes < planned_bytes(df):
+        return df
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
@@ -104,6 +104,15 @@ def refresh_partitions(df: DataFrame, table: ParquetTable) -> int:
     return _counted_save(df, table, "overwrite", only_touched_partitions=True)
 
 
+def drop_partitions(spark: SparkSession, table: ParquetTable, values: Sequence[object]) -> None:
+    """Remove the folders of these values of the partition column; missing ones are passed over."""
+    jvm = spark.sparkContext._jvm
+    for value in values:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{table.path}/{table.partition_by}={value}")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(folder, True)
+
+
 def in_partition_layout(df: DataFrame, column: str) -> DataFrame:
     """Bring rows of one partition folder together before writing.
 

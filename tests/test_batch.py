@@ -12,6 +12,7 @@ from wayfare import registry, schemas
 from wayfare.fixtures import fixture
 from wayfare.functions import moment
 from wayfare.operators import extract, marts, staging
+from wayfare.plans import checks
 from wayfare.plans.batch import Sources, Warehouse, run_batch, warehouse_counts
 from wayfare.session import shared_dir
 from wayfare.sources import targets
@@ -126,6 +127,29 @@ def test_incremental_run_within_a_day_equals_a_full_load(spark, sources):
     assert sum(found.values()) == sum(expected.values())
 
 
+def test_a_failed_run_is_logged(spark, sources):
+    warehouse = Warehouse.at(shared_dir(spark))
+    broken = Sources(sources.trips.drop("base_fare"), sources.drivers, sources.zones, sources.payments)
+    with pytest.raises(Exception):
+        run_batch(spark, broken, warehouse, AS_OF)
+    assert [row.status for row in warehouse.audit.read(spark).collect()] == ["failed"]
+
+
+def test_quality_run_counts_and_can_stop(spark):
+    fx = fixture(spark, DATA)
+    audit = ParquetTable(shared_dir(spark), schemas.AUDIT)
+    status = F.when(F.col("user_id") % 5 == 0, "lost").otherwise(F.col("status"))
+    dirty = Sources(fx.trips.withColumn("status", status), fx.drivers, fx.zones, fx.payments_dirty)
+    found = {(r.check, r.table_name, r.column_name): r.bad_rows
+             for r in checks.run_quality(spark, dirty, audit, AS_OF).collect()}
+    copies = fx.payments_dirty.groupBy("trip_id").count().filter("count > 1 AND trip_id IS NOT NULL")
+    assert found["duplicate", "payments", "trip_id"] == copies.agg(F.sum(F.col("count") - 1)).first()[0]
+    assert {name for name, _, _ in found} == {"duplicate", "null", "orphan", "domain", "balance"}
+    with pytest.raises(ValueError):
+        checks.run_quality(spark, dirty, audit, AS_OF, fail_on=("duplicate",))
+    assert [r.status for r in audit.read(spark).collect()] == ["warning", "warning"]
+
+
 def test_append_repeats_rows_and_refresh_replaces_them(spark):
     df = spark.range(10)
     table = ParquetTable(shared_dir(spark), df.schema)

@@ -1,6 +1,7 @@
-"""Command line for `spark-submit`: batch, manual-load, counts, stream and monitor.
+"""Command line: batch, manual-load, counts, quality, reports, stream and monitor.
 
-    spark-submit … -m wayfare batch --config job.json --hours 24
+    spark-submit --py-files wayfare.zip wayfare/__main__.py batch --config job.json --hours 24
+    python -m wayfare batch --config job.json --hours 24
 
 The configuration names the sources and where the results go:
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from wayfare import schemas
-from wayfare.plans import batch, stream
+from wayfare.plans import batch, checks, stream
 from wayfare.session import configure, keep_state_on_disk
 from wayfare.sources import readers
 from wayfare.streaming import sinks
@@ -55,7 +56,9 @@ def open_sources(spark: SparkSession, config: dict) -> batch.Sources:
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="wayfare")
-    parser.add_argument("job", choices=["batch", "manual-load", "counts", "stream", "monitor"])
+    parser.add_argument("job", choices=[
+        "batch", "manual-load", "counts", "quality", "reports", "stream", "monitor",
+    ])
     parser.add_argument("--config", required=True, help="JSON file described above")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="UTC; now by default")
     parser.add_argument("--hours", type=int, default=24, help="look-back of the batch job")
@@ -80,6 +83,13 @@ def main(given: list[str] | None = None) -> None:
         batch.run_manual_load(spark, open_sources(spark, config), warehouse)
     elif args.job == "counts":
         batch.warehouse_counts(spark, warehouse).show(truncate=False)
+    elif args.job == "quality":
+        checks.run_quality(spark, open_sources(spark, config), warehouse.audit, as_of).show(
+            truncate=False
+        )
+    elif args.job == "reports":
+        for name, report in checks.run_reports(spark, warehouse).items():
+            report.write.mode("overwrite").parquet(f"{config['warehouse']}/reports/{name}")
     elif args.job == "stream":
         keep_state_on_disk(spark)
         target = config["stream"]

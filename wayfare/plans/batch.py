@@ -69,6 +69,47 @@ def run_batch(
 ) -> DataFrame:
     """Load staging, rebuild gold and log the run. Returns the audit row.
 
+    A run that fails is logged as `failed`, and its exception goes on. See `_run` for the rest.
+    """
+    run_id = uuid.uuid4().hex
+    try:
+        loaded = _run(spark, sources, warehouse, as_of, lookback_hours, incremental)
+    except Exception:
+        _log(spark, warehouse.audit, run_id, name, as_of, None, "failed")
+        raise
+    return _log(spark, warehouse.audit, run_id, name, as_of, loaded, "success")
+
+
+def _log(
+    spark: SparkSession,
+    audit: Table,
+    run_id: str,
+    name: str,
+    as_of: datetime,
+    loaded: tuple[int, int] | None,
+    status: str,
+) -> DataFrame:
+    """Add an audit row; returns it as stored, since the end time is a clock."""
+    payment_rows, trip_rows = loaded or (None, None)
+    counts = spark.range(1).select(
+        F.lit(payment_rows).cast("bigint").alias("payment_rows"),
+        F.lit(trip_rows).cast("bigint").alias("trip_rows"),
+    )
+    row = health.audit_row(counts, health.batch_rows_loaded(), F.lit(status), run_id, name, as_of)
+    targets.append(row, audit)
+    return audit.read(spark).filter(F.col("run_id") == run_id)
+
+
+def _run(
+    spark: SparkSession,
+    sources: Sources,
+    warehouse: Warehouse,
+    as_of: datetime,
+    lookback_hours: int | None,
+    incremental: bool,
+) -> tuple[int, int]:
+    """Load staging and rebuild gold. Returns the payments and trips loaded.
+
     Staging holds what the look-back covers and gold is rebuilt from it; pass
     `lookback_hours=None` for a full load. With no new payments the staged payments stay.
     `incremental=True` looks back to the start of a day and replaces only the days it covers,
@@ -111,16 +152,7 @@ def run_batch(
             fact = targets.in_partition_layout(fact, "trip_date")
         targets.full_refresh(fact, warehouse.fct_trips)
 
-    run_id = uuid.uuid4().hex
-    counts = spark.range(1).select(
-        F.lit(payment_rows).alias("payment_rows"), F.lit(trip_rows).alias("trip_rows")
-    )
-    row = health.audit_row(
-        counts, health.batch_rows_loaded(), F.lit("success"), run_id, name, as_of
-    )
-    targets.append(row, warehouse.audit)
-    # The stored row: evaluating `row` again would give another end time.
-    return warehouse.audit.read(spark).filter(F.col("run_id") == run_id)
+    return payment_rows, trip_rows
 
 
 def run_manual_load(spark: SparkSession, sources: Sources, warehouse: Warehouse) -> int:

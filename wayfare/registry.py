@@ -7,6 +7,7 @@ all times without a zone. Load and processing times are clocks and are not compa
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from wayfare.fixtures import Fixture, fixture, with_views
 from wayfare.functions import driver_tier, surge_multiplier
 from wayfare.operators import extract, health, marts, quality, reports, staging
 from wayfare.operators.numbering import surrogate_key
+from wayfare.plans.batch import Sources, Warehouse, run_batch
+from wayfare.plans.checks import run_reports
 from wayfare.plans.stream import run_stream
 from wayfare.session import shared_dir
 from wayfare.sources import readers, targets
@@ -514,6 +517,37 @@ def star_trips_by_tier(fx: Fixture) -> DataFrame:
     return reports.star_trips_by_tier(_fact(fx), _dim(fx))
 
 
+@query(f"""
+SELECT d.driver_tier, {_TRIPS}, {_REVENUE}
+FROM fact f LEFT JOIN dim d ON f.driver_id = d.driver_id GROUP BY d.driver_tier""")
+def reports_from_gold(fx: Fixture) -> DataFrame:
+    """The star join again, from gold that a full batch run stored."""
+    warehouse = Warehouse.at(shared_dir(fx.spark))
+    sources = Sources(fx.trips, fx.drivers, fx.zones, fx.payments)
+    run_batch(fx.spark, sources, warehouse, datetime.fromisoformat(AS_OF), lookback_hours=None)
+    return run_reports(fx.spark, warehouse)["star_trips_by_tier"]
+
+
+_FACT_KEYS = "trip_id, user_id, driver_id, pickup_governorate, trip_date, payment_provider, promo_code"
+
+
+@query(f"""
+SELECT {_FACT_KEYS}, {_as_double("base_fare", "net_amount_egp")}
+FROM fact""")
+def gold_incremental(fx: Fixture) -> DataFrame:
+    """A full load, then an incremental one inside a day: the fact but for its key."""
+    warehouse = Warehouse.at(shared_dir(fx.spark))
+    sources = Sources(fx.trips, fx.drivers, fx.zones, fx.payments)
+    as_of = datetime.fromisoformat(AS_OF).replace(hour=1)
+    run_batch(fx.spark, sources, warehouse, as_of, lookback_hours=None)
+    # As far back as the payments of the last days go with their trips.
+    hours = 24 * 3650
+    run_batch(fx.spark, sources, warehouse, as_of, lookback_hours=hours, incremental=True)
+    fact = warehouse.fct_trips.read(fx.spark)
+    columns = [c.strip() for c in _FACT_KEYS.split(",")]
+    return fact.select(*columns, "base_fare", "net_amount_egp")
+
+
 @query("""
 SELECT 'stg_trips' AS table_name, COUNT(*) AS row_count FROM staged_trips
 UNION ALL SELECT 'stg_drivers', COUNT(*) FROM staged_drivers
@@ -562,6 +596,7 @@ _UNIQUE = (
     ("trips", "trips_dirty", "trip_id"),
     ("drivers", "drivers", "driver_id"),
     ("drivers", "drivers", "national_id"),
+    ("users", "users", "user_id"),
     ("users", "users", "phone"),
     ("zones", "zones", "zone_id"),
     ("payments", "payments_dirty", "trip_id"),
@@ -602,21 +637,22 @@ def dq_orphans(fx: Fixture) -> DataFrame:
 
 
 _DOMAINS = (
-    ("trips", "status", schemas.TRIP_STATUSES),
-    ("trips", "vehicle_type", schemas.VEHICLE_TYPES),
-    ("trips", "payment_method", schemas.PAYMENT_METHODS),
+    ("trips", "trips_dirty", "status", schemas.TRIP_STATUSES),
+    ("trips", "trips_dirty", "vehicle_type", schemas.VEHICLE_TYPES),
+    ("trips", "trips_dirty", "payment_method", schemas.PAYMENT_METHODS),
+    ("drivers", "drivers", "vehicle_type", schemas.VEHICLE_TYPES),
 )
 
 
 @query("\nUNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{column}' AS column_name, LOWER({column}) AS bad_value,"
-    f" COUNT(*) AS bad_rows FROM trips_dirty WHERE LOWER({column}) NOT IN {allowed}"
+    f" COUNT(*) AS bad_rows FROM {table} WHERE LOWER({column}) NOT IN {allowed}"
     f" GROUP BY LOWER({column})"
-    for name, column, allowed in _DOMAINS
+    for name, table, column, allowed in _DOMAINS
 ))
 def dq_domains(fx: Fixture) -> DataFrame:
     return quality.outside_domain([
-        (name, fx.trips_dirty, column, allowed) for name, column, allowed in _DOMAINS
+        (name, fx[table], column, allowed) for name, table, column, allowed in _DOMAINS
     ])
 
 

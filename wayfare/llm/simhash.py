@@ -296,4 +296,5 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
         F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", ROW)).alias("_first")
     )
     first = materialise(first.select(F.col(f"_first.{ROW}").alias(ROW)))
-    return numbered.join(first, ROW, "left_semi").select(*fields_of(numbered))
+    # Always merged: a broadcast would do for a small corpus only.
+    return numbered.join(first.hint("merge"), ROW, "left_semi").select(*fields_of(numbered))

@@ -36,6 +36,8 @@ LEAST_GAIN = 16.0
 EPOCHS = 12
 # Lengths of the beginnings of words.
 PREFIXES = (4, 5, 6, 7)
+# Words whose features a worker keeps.
+KEPT_WORDS = 200_000
 RATE = 0.3
 SHRINK = 1e-3
 LIMIT = 0.5
@@ -76,13 +78,19 @@ def _share(part: float, whole: int) -> float:
 
 def lettered(f: Facts) -> float:
     """Share of words with a letter."""
-    return _share(sum(any(map(str.isalpha, w)) for w in f.words), len(f.words))
+    having = [w[0].isalpha() or any(map(str.isalpha, w)) for w in f.words]
+    return _share(sum(having), len(f.words))
 
 
 def upper(f: Facts) -> float:
-    """Share of letters that are capitals."""
-    letters = sum(map(str.isalpha, f.text))
-    return _share(sum(map(str.isupper, f.text)), letters)
+    """Characters that lower case changes, as a share of those of words."""
+    low = f.text.lower()
+    if len(low) != len(f.text):  # few characters have a lower case of another length
+        low = "".join(c.lower()[0] for c in f.text)
+    own, other = (
+        np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in (f.text, low)
+    )
+    return _share(float((own != other).sum()), sum(map(len, f.tokens)))
 
 
 def repeated(f: Facts) -> float:
@@ -168,11 +176,11 @@ def fit_weak_labels(counts: dict[str, int], rounds: int = 100) -> WeakLabelModel
     """Expectation-maximisation over counts of vote patterns; the last vote is the known label.
 
     It starts from the documents whose label is known or, without any, from the belief that a
-    vote is fifteen times as likely to be right. It keeps
-    half a document of each kind in every count, so that no probability is zero.
+    vote is fifteen times as likely to be right. It keeps half a document of each kind in every
+    count, so that no probability is zero.
     """
     labellers = len(next(iter(counts), ""))
-    votes = np.array([["bg-".index(v) for v in p] for p in counts], int).reshape(-1, labellers)
+    votes = np.array([["bg-".index(v) for v in p] for p in counts], int).reshape(len(counts), labellers)
     every = np.array(list(counts.values()), float)
     start = np.array([[0.02, 0.3], [0.3, 0.02], [0.68, 0.68]])
     model = WeakLabelModel(0.15, np.repeat(start[None], labellers, 0))
@@ -219,6 +227,32 @@ def toxic_features(f: Facts) -> Iterator[str]:
     yield from (f"{beginning}-" for beginning in beginnings)
 
 
+class WordPlaces:
+    """Places of the features of toxic text, of those that a mask lets through.
+
+    What a word gives is kept, in a table that starts anew when it is full: most words come again,
+    and give nothing.
+    """
+
+    def __init__(self, used: np.ndarray):
+        self._used = used
+        self._kept: dict[str, tuple[int, ...]] = {}
+
+    def __call__(self, facts: Facts) -> np.ndarray:
+        found: set[int] = set()
+        kept = self._kept
+        if len(kept) > KEPT_WORDS:
+            kept.clear()
+        for word in set(facts.tokens):
+            own = kept.get(word)
+            if own is None:
+                names = (word, *(f"{word[:n]}-" for n in PREFIXES if n < len(word)))
+                own = kept[word] = tuple(p for p in map(feature, names) if self._used[p])
+            if own:
+                found.update(own)
+        return np.array(sorted(found), np.int64)
+
+
 @dataclass
 class Scorer:
     """A logistic model over hashed features; only features that carry weight are kept."""
@@ -231,6 +265,18 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, total))))
 
 
+def informative(having: np.ndarray, bad: np.ndarray, total: float, total_bad: float) -> np.ndarray:
+    """Which features enough documents have, and tell enough about being bad (G²)."""
+
+    def likelihood(part: np.ndarray, of: np.ndarray | float) -> np.ndarray:
+        share = np.clip(part / np.maximum(of, 1e-9), 1e-9, 1 - 1e-9)
+        return part * np.log(share) + (of - part) * np.log(1 - share)
+
+    apart = likelihood(bad, having) + likelihood(total_bad - bad, total - having)
+    gain = 2 * (apart - likelihood(np.array(total_bad), total))
+    return (having >= LEAST_DOCS) & (gain >= LEAST_GAIN)
+
+
 def fit_scorer(rows: list[np.ndarray], labels: np.ndarray) -> Scorer:
     """Fit to soft labels. Features that tell little, or that few documents have, get no weight."""
     size = 1 << HASH_BITS
@@ -242,14 +288,7 @@ def fit_scorer(rows: list[np.ndarray], labels: np.ndarray) -> Scorer:
     for own, label in zip(rows, labels):
         having[own] += 1
         having_bad[own] += label
-
-    def likelihood(part: np.ndarray, of: np.ndarray | float) -> np.ndarray:
-        share = np.clip(part / np.maximum(of, 1e-9), 1e-9, 1 - 1e-9)
-        return part * np.log(share) + (of - part) * np.log(1 - share)
-
-    rest = likelihood(bad - having_bad, total - having)
-    gain = 2 * (likelihood(having_bad, having) + rest - likelihood(np.array(bad), total))
-    used = (having >= LEAST_DOCS) & (gain >= LEAST_GAIN)
+    used = informative(having, having_bad, total, bad)
     kept = [own[used[own]] for own in rows]
     base = min(max(bad / total, 1e-3), 1 - 1e-3)
     bias = math.log(base / (1 - base))
@@ -325,10 +364,11 @@ def fit(
     The sample has different texts of at most SAMPLE_CHARS characters, those of the lowest hashes.
     """
     voted = vote_patterns(docs, labels)
-    models, praised = {}, {}
+    models, praised, seen = {}, {}, {}
     for name, _, _ in MODELS:
         counts = {row[0]: row[1] for row in voted.groupBy(name).count().collect()}
         models[name] = fit_weak_labels(counts)
+        seen[name] = list(counts)
         praised[name] = any(GOOD in p for p in counts)
     # Where nobody ever votes good, silence has to stand for it.
     spoken = [F.lit(True) if not good else F.col(n).rlike("[bg]") for n, good in praised.items()]
@@ -336,24 +376,76 @@ def fit(
     chosen = chosen.groupBy("_h").agg(F.min("junk").alias("junk"), F.min("toxic").alias("toxic"))
     chosen = materialise(chosen.orderBy("_h").limit(sample_docs))
 
-    @F.pandas_udf("junk array<long>, toxic array<long>")
-    def features(texts: pd.Series) -> pd.DataFrame:
-        facts = [Facts(text) for text in texts]
-        return pd.DataFrame({name: [hashed(of(f)) for f in facts] for name, _, of in MODELS})
-
     texts = docs.select(text_of().alias("_text")).withColumn("_h", F.xxhash64("_text"))
     # At most `sample_docs` hashes are sent to every task.
     sample = texts.join(F.broadcast(chosen.select("_h")), "_h", "left_semi")
-    sample = sample.groupBy("_h").agg(F.min("_text").alias("_text"))
-    rows = sample.select("_h", features("_text").alias("f")).join(chosen, "_h").select(
-        "_h", "junk", "toxic", F.col("f.junk").alias("junk_f"), F.col("f.toxic").alias("toxic_f")
+    sample = materialise(sample.groupBy("_h").agg(F.min("_text").alias("_text")).join(chosen, "_h"))
+    soft = {
+        name: {p: models[name].posterior(p) for p in patterns if not praised[name] or p.strip(NONE)}
+        for name, patterns in seen.items()
+    }
+    useful = _useful_features(sample, soft)
+    return {
+        name: (models[name], fit_scorer(*rows))
+        for name, rows in _sample_rows(sample, soft, useful).items()
+    }
+
+
+def _useful_features(
+    sample: DataFrame, soft: dict[str, dict[str, float]]
+) -> dict[str, np.ndarray]:
+    """Per model, a mask of informative features, counted where the texts are."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        size = 1 << HASH_BITS
+        sums = {name: np.zeros((2, size + 1)) for name, _, _ in MODELS}
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                facts = Facts(row.text)
+                for name, _, features in MODELS:
+                    label = soft[name].get(getattr(row, name))
+                    if label is not None:
+                        # The last place counts documents.
+                        own = np.append(hashed(features(facts)), size)
+                        sums[name][0, own] += 1
+                        sums[name][1, own] += label
+        for name, (having, bad) in sums.items():
+            own = np.flatnonzero(having)
+            yield pd.DataFrame({"model": name, "f": own, "n": having[own], "bad": bad[own]})
+
+    read = sample.select(F.col("_text").alias("text"), "junk", "toxic")
+    counted = read.mapInPandas(count, "model string, f long, n double, bad double")
+    counted = counted.groupBy("model", "f").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    # At most one row per place of the hashed vectors.
+    found = counted.filter(F.col("n") >= LEAST_DOCS).toPandas()
+    useful = {}
+    for name, _, _ in MODELS:
+        own = found[found["model"] == name]
+        having, bad = np.zeros((2, (1 << HASH_BITS) + 1))
+        having[own["f"]], bad[own["f"]] = own["n"], own["bad"]
+        useful[name] = informative(having[:-1], bad[:-1], having[-1], bad[-1])
+    return useful
+
+
+def _sample_rows(
+    sample: DataFrame, soft: dict[str, dict[str, float]], useful: dict[str, np.ndarray]
+) -> dict[str, tuple[list[np.ndarray], np.ndarray]]:
+    """Per model, the useful features of each sample document, and its soft label."""
+
+    @F.pandas_udf("junk array<int>, toxic array<int>")
+    def features(texts: pd.Series) -> pd.DataFrame:
+        facts = [Facts(text) for text in texts]
+        found = {name: [hashed(of(f)) for f in facts] for name, _, of in MODELS}
+        return pd.DataFrame({name: [f[useful[name][f]] for f in rows] for name, rows in found.items()})
+
+    rows = sample.select("_h", "junk", "toxic", features("_text").alias("_f")).select(
+        "_h", "junk", "toxic", F.col("_f.junk").alias("junk_f"), F.col("_f.toxic").alias("toxic_f")
     ).toPandas().sort_values("_h")
     found = {}
     for name, _, _ in MODELS:
-        used = rows if not praised[name] else rows[rows[name].str.contains("[bg]")]
-        soft = np.array([models[name].posterior(p) for p in used[name]], float)
-        own = [np.asarray(f, np.int64) for f in used[f"{name}_f"]]
-        found[name] = models[name], fit_scorer(own, soft)
+        labels = rows[name].map(soft[name])
+        own = [np.asarray(f, np.int64) for f in rows.loc[labels.notna(), f"{name}_f"]]
+        found[name] = own, labels.dropna().to_numpy(float)
     return found
 
 
@@ -371,16 +463,21 @@ def score(
     )
 
     @F.pandas_udf("p_junk double, p_toxic double")
-    def scores(texts: pd.Series) -> pd.DataFrame:
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorers = {}
         for m, (bias, places, values) in sent.value.items():
             weights = np.zeros(1 << HASH_BITS)
             weights[places] = values
             scorers[m] = Scorer(bias, weights)
-        facts = [Facts(text) for text in texts]
-        return pd.DataFrame(
-            {f"p_{m}": [scorers[m].score(hashed(of(f))) for f in facts] for m, _, of in MODELS}
-        )
+        words = WordPlaces(scorers["toxic"].weights != 0)
+        for texts in batches:
+            facts = [Facts(text) for text in texts]
+            yield pd.DataFrame(
+                {
+                    "p_junk": [scorers["junk"].score(hashed(junk_features(f))) for f in facts],
+                    "p_toxic": [scorers["toxic"].score(words(f)) for f in facts],
+                }
+            )
 
     return docs.withColumn(name, scores(text_of()))
 

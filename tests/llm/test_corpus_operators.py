@@ -92,6 +92,25 @@ def test_terms_that_reveal_an_entity_are_found(spark):
     assert "[email]" in clean[200] and clean[0] == rows[0]
 
 
+def disclosed(spark, rows):
+    """Words of more than one character that the method takes out."""
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {row.doc_id: row.spans for row in pii.find_spans(docs).collect()}
+    words = set()
+    for k, text in enumerate(rows):
+        for span in found[k].split(",") if found[k] else []:
+            kind, start, end = span.rsplit(":", 2)
+            if kind in ("remove", "generalise"):
+                words.add(text[int(start) : int(end)])
+    return words
+
+
+def test_two_contexts_are_evidence(spark):
+    rows = [f"filler{k} text{k} without{k} any{k}" for k in range(200)]
+    rows += ["a Quillon b quill@corp.example.com c", "d e Quillon f quill@corp.example.com g"]
+    assert "Quillon" in disclosed(spark, rows)
+
+
 def test_sanitising_odd_rows(odd, nothing):
     rows = pii.find_spans(odd).collect()
     assert Counter((r.doc_id, r.base) for r in rows) == Counter(

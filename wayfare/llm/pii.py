@@ -30,8 +30,9 @@ from wayfare.session import materialise
 KINDS = ("email", "ip", "card", "phone")
 # Words on either side of an entity that count as its context.
 CONTEXT_WORDS = 8
-# Distinct contexts in which a term must have met an entity, and the disclosure ratios.
-WITNESSES = 3
+# Distinct contexts in which a term must have met an entity, and the disclosure ratios. Any rare
+# word has one neighbour by chance; that the same two meet in a second context is evidence.
+WITNESSES = 2
 GENERALISE = 0.7
 REMOVE = 0.9
 # Bits of the filter that spares exact look-ups for other terms; fixed, so its size is bounded.

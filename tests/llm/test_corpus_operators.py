@@ -111,6 +111,28 @@ def test_two_contexts_are_evidence(spark):
     assert "Quillon" in disclosed(spark, rows)
 
 
+def test_copies_neither_hide_nor_make_a_disclosing_term(spark):
+    rows = [f"filler{k} text{k} without{k} any{k}" for k in range(1000)]
+    hot = "ask Zebulon at zed@corp.example.com office about it"
+    rows += [hot] * 400
+    rows += [f"one{k} Zebulon two{k} zed@corp.example.com office three{k}" for k in range(2)]
+    # `office` stands in many documents apart from the address, though in fewer than copies.
+    rows += [f"my{k} office is{k} far{k}" for k in range(200)]
+    assert disclosed(spark, rows) == {"Zebulon"}
+
+
+def test_spans_of_one_document_are_counted_once_as_a_document(spark):
+    rows = [
+        "Zed a@b.example x y Zed a@b.example z " + "far " * 20 + "Zed a@b.example q",
+        "no mail here", "Zed w", "",
+    ]
+    docs = spark.createDataFrame([(t,) for t in rows], "text string")
+    near = pii.context_rows(docs, 2).groupBy("entity").agg(
+        F.count_distinct("context").alias("c"), F.sum(F.col("fresh").isNull().cast("int")).alias("n")
+    )
+    assert [(r.c, r.n) for r in near.collect()] == [(3, 1)]
+
+
 def test_sanitising_odd_rows(odd, nothing):
     rows = pii.find_spans(odd).collect()
     assert Counter((r.doc_id, r.base) for r in rows) == Counter(

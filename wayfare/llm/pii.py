@@ -1,8 +1,8 @@
 """Sanitising personal data by what the corpus itself discloses.
 
 Patterns find the base personal data: mail addresses, IP addresses, card and phone numbers. Each
-value is a protected entity. Terms near an entity are counted over all documents, each distinct
-context once, so that copies of a passage are one witness. A term t discloses an entity e by
+value is a protected entity. Terms near an entity are counted over all documents, those that
+repeat a context once, so that copies of a passage are one witness. A term t discloses an entity e by
 
     PMI(e; t) / IC(e),  PMI = log2 p(e | t) / p(e),  IC = -log2 p(e)
 
@@ -168,21 +168,32 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def context_rows(texts: DataFrame, width: int) -> DataFrame:
-    """(entity, context, terms) of every base span; `context` is a hash of entity and terms."""
+    """(entity, context, terms, fresh) of every base span; `context` is a hash of entity and terms.
+
+    `fresh` has the terms that met the entity in no earlier span of the document. It is null for
+    the first span, where all are fresh.
+    """
     schema = pa.schema(
-        [("entity", pa.string()), ("context", pa.binary()), ("terms", pa.list_(pa.string()))]
+        [("entity", pa.string()), ("context", pa.binary())]
+        + [(name, pa.list_(pa.string())) for name in ("terms", "fresh")]
     )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text in texts_in(batch):
+                met: dict[str, set[str]] = {}
                 for name, near in contexts(text, base_spans(text), width):
                     key = hashlib.md5("\0".join([name, *near]).encode("utf-8", "surrogatepass"))
-                    rows.append((name, key.digest(), near))
+                    before = met.get(name)
+                    fresh = None if before is None else [t for t in near if t not in before]
+                    met.setdefault(name, set()).update(near)
+                    rows.append((name, key.digest(), near, fresh))
             yield _batch(rows, schema)
 
-    return texts.mapInArrow(find, "entity string, context binary, terms array<string>")
+    return texts.mapInArrow(
+        find, "entity string, context binary, terms array<string>, fresh array<string>"
+    )
 
 
 def bit_filter(hashes: DataFrame, bits: int = FILTER_BITS) -> bytes:
@@ -244,23 +255,32 @@ def disclosing_terms(
 ) -> DataFrame:
     """(h, ratio, action) of every term that discloses some entity too well.
 
-    p(e) is the share of documents' contexts that hold e, p(e | t) the share of a term's
-    occurrences that were witnesses of e. Counting is over all documents.
+    p(e) is the share of documents that hold e, p(e | t) the share of a term's documents in which
+    it stood near e. Those with the same context of e count once, above and below the line.
+    Counting is over all documents.
     """
-    near = materialise(context_rows(texts, width).dropDuplicates(["context"]))
-    met = near.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("together")
+    near = context_rows(texts, width).groupBy("entity", "context", "fresh")
+    near = materialise(near.agg(F.first("terms").alias("terms"), F.count(F.lit(1)).alias("n")))
+    is_fresh = F.col("fresh").isNull() | F.array_contains("fresh", F.col("term"))
+    met = near.select("entity", "context", "fresh", "n", F.explode("terms").alias("term"))
+    met = met.groupBy("entity", "term").agg(
+        F.count_distinct("context").alias("together"),
+        F.sum(F.when(is_fresh, F.col("n")).otherwise(0)).alias("beside"),
     )
     met = materialise(met.filter(F.col("together") >= witnesses))
     # The filter has the terms of candidates only, each with its hash.
-    hashed = materialise(met.mapInArrow(_hash_terms, "entity string, together long, h long"))
+    hashed = materialise(
+        met.mapInArrow(_hash_terms, "entity string, together long, beside long, h long")
+    )
     documents = document_counts(texts, bit_filter(hashed.select("h").distinct()))
-    entities = near.groupBy("entity").agg(F.count(F.lit(1)).alias("contexts"))
+    entities = near.groupBy("entity").agg(
+        F.count_distinct("context").alias("contexts"),
+        F.sum(F.when(F.col("fresh").isNull(), F.col("n")).otherwise(0)).alias("holding"),
+    )
     total = texts.count()
     joined = hashed.join(entities, "entity").join(documents, "h")
-    p_entity = F.least(F.col("contexts") / F.lit(max(total, 1)), F.lit(1.0))
-    # A term may occur in fewer documents than contexts, and then it always points there.
-    p_given = F.least(F.col("together") / F.greatest("documents", "together"), F.lit(1.0))
+    p_entity = _share("contexts", F.col("holding"), F.lit(total))
+    p_given = _share("together", F.col("beside"), F.col("documents"))
     bits = -F.log2(p_entity)
     ratio = F.when(bits > 0, (F.log2(p_given) + bits) / bits).otherwise(F.lit(0.0))
     worst = joined.select("h", ratio.alias("ratio")).groupBy("h").agg(F.max("ratio").alias("ratio"))
@@ -270,12 +290,21 @@ def disclosing_terms(
     )
 
 
+def _share(different: str, having: Column, documents: Column) -> Column:
+    """The share of documents `having` something, where repeats of the `different` ones count once."""
+    once = F.least(F.col(different), having)
+    return once / (documents - having + once)
+
+
 def _hash_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hashes = [term_hash(term) for term in batch.column("term").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("entity"), batch.column("together"), pa.array(hashes, pa.int64())],
-            ["entity", "together", "h"],
+            [
+                *(batch.column(name) for name in ("entity", "together", "beside")),
+                pa.array(hashes, pa.int64()),
+            ],
+            ["entity", "together", "beside", "h"],
         )
 
 

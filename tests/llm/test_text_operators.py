@@ -420,3 +420,15 @@ def test_random_access_in_a_shard(spark, tokenizer):
         start, end = shard.offsets(k, k + 1).tolist()
         assert shard.doc_ids(k, k + 1) == [k * 3 - 50]
         assert shard.ids(start, end).tolist() == [*ids_of(tokenizer, f"text number {k} " * (k % 7)), 0]
+
+
+def test_shards_follow_the_bytes_of_the_input(spark, tmp_path, monkeypatch):
+    rows = [(k, f"text {k} " * 50) for k in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    size = sum(f.stat().st_size for f in (tmp_path / "d").rglob("*.parquet"))
+    monkeypatch.setattr(elias_fano, "SHARD_BYTES", size // 20)
+    manifest = elias_fano.write_shards(docs, shared_dir(spark))
+    assert manifest.count() >= 20
+    rows = elias_fano.read_shards(elias_fano.with_starts(manifest)).collect()
+    assert sorted(row.doc_id for row in rows) == list(range(400))

@@ -14,6 +14,7 @@ of 64-bit offsets exists.
 
 from __future__ import annotations
 
+import math
 import struct
 import uuid
 import zlib
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.common import bounded_batches, text_of, texts_in
 from wayfare.llm.tokens import default_path, library_coder
-from wayfare.session import materialise, shared_dir
+from wayfare.session import materialise, planned_bytes, shared_dir
 
 MAGIC = b"WFIDS001"
 # n_docs, n_without_doc_id, n_tokens, width, lowest doc_id, then bytes of the six index parts.
@@ -179,12 +180,18 @@ def write_shards(
     """Write the ids of whole texts in ascending doc_id order; returns the manifest of shards.
 
     Rows without a doc_id come first, equal doc_ids follow each other in any order, a null text
-    counts as empty and has the end id alone. An attempt of a task writes a file of its own, and
+    counts as empty and has the end id alone. Without a number of `shards` there is at least one
+    for each SHARD_BYTES of input. An attempt of a task writes a file of its own, and
     only the committed attempt's file is in the manifest, so lost executors leave no wrong
     data. No rows give no shards. Other columns are not read.
     """
     spark = bounded_batches(docs.sparkSession)
     path = path or default_path()
+    if shards is None:
+        # Fewer than the session's partitions are left to it: adaptive execution merges small ones.
+        needed = math.ceil(planned_bytes(docs) / SHARD_BYTES)
+        session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        shards = needed if needed > session else None
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = library_coder(path)

@@ -328,3 +328,14 @@ def test_pipeline_on_no_documents(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{DATA}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_label_of_one_copy_is_not_lost(spark):
+    rows = [
+        (1, "b--", "-b-"), (1, "b-b", "-bg"), (1, "b-g", "-b-"),
+        (2, "---", "---"), (2, "--g", "---"), (3, "-b-", "b--"),
+    ]
+    voted = spark.createDataFrame(rows, "_h long, junk string, toxic string")
+    names = ("junk", "toxic")
+    found = voted.groupBy("_h").agg(*(weak_labels.pattern_of_copies(n).alias(n) for n in names))
+    assert {tuple(r) for r in found.collect()} == {(1, "b-b", "-bg"), (2, "--g", "---"), (3, "-b-", "b--")}

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import bounded_batches, text_of
@@ -356,6 +356,13 @@ def vote_patterns(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
 
 
+def pattern_of_copies(name: str) -> Column:
+    """Aggregate: the votes, which copies of a text share, and the worst label known of any copy."""
+    votes, label = F.expr(f"left({name}, length({name}) - 1)"), F.right(name, F.lit(1))
+    known = F.min(F.when(label != NONE, label))
+    return F.concat(F.min(votes), F.coalesce(known, F.lit(NONE)))
+
+
 def fit(
     docs: DataFrame, labels: DataFrame | None, sample_docs: int = SAMPLE_DOCS
 ) -> dict[str, tuple[WeakLabelModel, Scorer]]:
@@ -373,7 +380,7 @@ def fit(
     # Where nobody ever votes good, silence has to stand for it.
     spoken = [F.lit(True) if not good else F.col(n).rlike("[bg]") for n, good in praised.items()]
     chosen = voted.filter((F.col("_chars") <= SAMPLE_CHARS) & (spoken[0] | spoken[1]))
-    chosen = chosen.groupBy("_h").agg(F.min("junk").alias("junk"), F.min("toxic").alias("toxic"))
+    chosen = chosen.groupBy("_h").agg(*(pattern_of_copies(n).alias(n) for n, _, _ in MODELS))
     chosen = materialise(chosen.orderBy("_h").limit(sample_docs))
 
     texts = docs.select(text_of().alias("_text")).withColumn("_h", F.xxhash64("_text"))

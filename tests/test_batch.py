@@ -223,3 +223,17 @@ def test_command_line_runs_batch_manual_load_and_monitor(spark, sources, tmp_pat
     run("monitor")
     statuses = [r.status for r in warehouse.audit.read(spark).collect()]
     assert sorted(statuses) == ["success", "success", "warning_empty_table"]
+
+
+def test_quality_counts_cover_all_required_and_unique_columns(spark):
+    fx = fixture(spark, DATA)
+    first = F.col("driver_id") == fx.drivers.agg(F.min("driver_id")).first()[0]
+    drivers = fx.drivers.withColumns({
+        "full_name": F.when(~first, F.col("full_name")), "national_id": F.lit("1"),
+    })
+    sources = Sources(fx.trips, drivers, fx.zones, fx.payments, fx.users.withColumn("phone", F.lit("1")))
+    found = {(r.check, r.table_name, r.column_name): r.bad_rows
+             for r in checks.quality_counts(sources).collect()}
+    assert found["null", "drivers", "full_name"] == 1
+    assert found["duplicate", "drivers", "national_id"] == fx.drivers.count() - 1
+    assert found["duplicate", "users", "phone"] == fx.users.count() - 1

@@ -10,6 +10,7 @@ The configuration names the sources and where the results go:
                   "partition_column": "trip_id", "bounds": [1, 900000000], "partitions": 400},
      "drivers":  {"format": "jdbc", …}, "zones": {"format": "jdbc", …},
      "payments": {"format": "mongodb", "options": {…}},
+     "users":    {"format": "jdbc", …} (only for quality; may be left out),
      "stream":   {"servers": "broker:9092", "topic": "trip_events",
                   "log": "s3a://lake/windows", "checkpoint": "s3a://lake/checkpoints/windows"}}
 """
@@ -51,6 +52,7 @@ def open_sources(spark: SparkSession, config: dict) -> batch.Sources:
             spark, payments.get("path"), source=payments["format"],
             options=payments.get("options"),
         ),
+        users=open_table(spark, config["users"], schemas.USERS) if "users" in config else None,
     )
 
 

@@ -28,6 +28,8 @@ class Sources:
     drivers: DataFrame
     zones: DataFrame
     payments: DataFrame
+    # Only checked for quality; no gold table is made of them.
+    users: DataFrame | None = None
 
 
 @dataclass(frozen=True)

@@ -16,6 +16,20 @@ from wayfare.sources import targets
 from wayfare.sources.targets import Table
 
 QUALITY_NAME = "quality"
+# Columns that must have a value, and keys that must not repeat.
+REQUIRED = {
+    "trips": ("trip_id", "requested_at", "base_fare", "status", "vehicle_type", "payment_method"),
+    "drivers": (
+        "driver_id", "full_name", "national_id", "phone", "vehicle_type", "vehicle_plate",
+    ),
+    "zones": ("zone_id", "zone_name", "governorate"),
+    "payments": ("trip_id",),
+    "users": ("user_id", "full_name", "phone"),
+}
+UNIQUE = (
+    ("trips", "trip_id"), ("drivers", "driver_id"), ("drivers", "national_id"),
+    ("users", "user_id"), ("users", "phone"), ("zones", "zone_id"), ("payments", "trip_id"),
+)
 
 
 def quality_counts(sources: Sources) -> DataFrame:
@@ -23,25 +37,28 @@ def quality_counts(sources: Sources) -> DataFrame:
 
     Duplicates are counted as the rows beyond the first of a key. They matter before the trip
     fact is built, since every payment of a repeated trip id is joined to each of its rows.
+    Users are checked where they are given.
     """
     trips, drivers, zones, payments = (
         sources.trips, sources.drivers, sources.zones, sources.payments
     )
-    duplicates = quality.duplicate_keys([
-        ("trips", trips, "trip_id"), ("drivers", drivers, "driver_id"),
-        ("zones", zones, "zone_id"), ("payments", payments, "trip_id"),
-    ]).select("table_name", "column_name", (F.col("copies") - 1).alias("bad_rows"))
-    nulls = quality.null_counts({
-        "trips": (trips, ("trip_id", "requested_at", "base_fare")),
-        "drivers": (drivers, ("driver_id", "vehicle_type")),
-        "zones": (zones, ("zone_id", "zone_name")), "payments": (payments, ("trip_id",)),
-    }).select("table_name", "column_name", F.col("null_rows").alias("bad_rows"))
-    unknown = quality.orphans([
+    tables = {"trips": trips, "drivers": drivers, "zones": zones, "payments": payments}
+    references = [
         ("trips.pickup_zone_id", trips, "pickup_zone_id", zones, "zone_id"),
         ("trips.dropoff_zone_id", trips, "dropoff_zone_id", zones, "zone_id"),
         ("trips.driver_id", trips, "driver_id", drivers, "driver_id"),
         ("drivers.registered_zone", drivers, "registered_zone", zones, "zone_id"),
-    ])
+    ]
+    if sources.users is not None:
+        tables["users"] = sources.users
+        references.append(("trips.user_id", trips, "user_id", sources.users, "user_id"))
+    duplicates = quality.duplicate_keys(
+        [(name, tables[name], column) for name, column in UNIQUE if name in tables]
+    ).select("table_name", "column_name", (F.col("copies") - 1).alias("bad_rows"))
+    nulls = quality.null_counts(
+        {name: (df, REQUIRED[name]) for name, df in tables.items()}
+    ).select("table_name", "column_name", F.col("null_rows").alias("bad_rows"))
+    unknown = quality.orphans(references)
     parts = F.split("relation", r"\.")
     unknown = unknown.select(
         parts[0].alias("table_name"), parts[1].alias("column_name"),

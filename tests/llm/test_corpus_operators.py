@@ -24,9 +24,9 @@ def test_query_equals_its_sql(spark, name):
     assert compare(QUERIES[name](spark, DATA), ORACLE[name], DATA) > 0
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = [name for name in entry.queries() if re.match(r"op\d+_|pipeline$", name)]
-    assert sorted(int(re.findall(r"\d+", n)[0]) for n in names if n != "pipeline") == [*range(1, 11)]
+    assert sorted(int(re.findall(r"\d+", n)[0]) for n in names if n != "pipeline") == [*range(1, 14)]
     assert "pipeline" in names
 
 

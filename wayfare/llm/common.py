@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,3 +101,8 @@ def words_of(text: str) -> list[bytes]:
 
 def texts_in(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [text or "" for text in batch.column(column).to_pylist()]
+
+
+def file_place(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system and path of a place in the shared folder, for code inside tasks."""
+    return pa.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")

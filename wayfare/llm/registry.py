@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import (
-    elias_fano, packing, pii, prefix_bpe, repetition, secrets, simhash, urls, vafile, weak_labels,
+    elias_fano, packing, pii, prefix_bpe, repetition, secrets, simhash, substrings, urls, vafile,
+    weak_labels,
 )
 from wayfare.llm.common import table
 from wayfare.session import configure
@@ -105,3 +106,12 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_elias_fano_ids")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return elias_fano.write_and_read(spark, table(spark, folder, "documents"))
+
+
+@query("op13_count_min_substrings")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op13_count_min_substrings"] = substrings.SQL

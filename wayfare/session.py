@@ -99,6 +99,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/wayfare-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, wherever Spark can write; none is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Scan Parquet files with a declared schema; a folder not yet written has no rows."""
     try:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import (
-    elias_fano, packing, pii, prefix_bpe, repetition, secrets, simhash, substrings, urls, vafile,
-    weak_labels,
+    centroids, elias_fano, packing, pii, prefix_bpe, repetition, secrets, simhash, substrings, urls,
+    vafile, weak_labels,
 )
 from wayfare.llm.common import table
 from wayfare.session import configure
@@ -108,6 +108,18 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return elias_fano.write_and_read(spark, table(spark, folder, "documents"))
 
 
+@query("op11_incremental_centroids")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = centroids.cluster_vectors(table(spark, folder, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256")
+    )
+
+
+ORACLE["op11_incremental_centroids"] = centroids.SQL
+
+
 @query("op13_count_min_substrings")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, folder, "documents"))

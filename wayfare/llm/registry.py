@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import (
-    centroids, elias_fano, packing, pii, prefix_bpe, repetition, secrets, simhash, substrings, urls,
-    vafile, weak_labels,
+    centroids, elias_fano, packing, pii, prefix_bpe, repetition, secrets, simhash, substrings, turns,
+    urls, vafile, weak_labels,
 )
 from wayfare.llm.common import table
 from wayfare.session import configure
@@ -120,6 +120,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 ORACLE["op11_incremental_centroids"] = centroids.SQL
 
 
+@query("op12_grammar_turn_repair")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.repair(table(spark, folder, "conversations"), damage=True)
+
+
 @query("op13_count_min_substrings")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, folder, "documents"))

@@ -4,10 +4,14 @@
    into full pieces; only its first piece may be shorter.
 2. Only the histogram of piece lengths, at most `capacity` numbers, reaches the driver. Large
    lengths are put in groups of equal cardinality and rounded up to the longest of their group.
-   The few sizes left are packed by a linear programme over configurations (column generation),
-   rounded down.
-3. The real lengths take the places of the rounded ones. What they leave free, and the rest of
-   the pieces, are filled by best fit, longest first. All this is arithmetic on runs of equal
+   The few sizes left are packed by a linear programme over configurations (column generation,
+   to its optimum), rounded down.
+3. The real lengths take the places of the rounded ones; the last place of a configuration takes
+   the longest piece that fits what the others leave. What stays free, and the rest of
+   the pieces, are filled by best fit, longest first. Configurations whose real pieces fill too
+   little of a sequence are given up, and their pieces are fitted like the rest: by which share
+   is found by planning with several, until the sequences are as few as the lengths allow. All
+   this is arithmetic on runs of equal
    sequences, whose number depends on `capacity` and not on the number of documents.
 4. Pieces are numbered within their length, in salted groups, and look up their run.
 """
@@ -15,7 +19,7 @@
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,7 +37,10 @@ CAPACITY = 2048
 END_ID = 0
 # A length above this share of a sequence is large; so many groups of large lengths.
 LARGE_SHARE = 8
-GROUPS = 48
+GROUPS = 64
+# Configurations are kept if their real pieces fill this share of a sequence; the last one keeps
+# none. The first that gives fewest sequences is taken.
+FILLS = (0.0, 0.9, 0.95, 0.98, 0.99, 0.995, 0.998, 1.0, 2.0)
 # Rows numbered by one task at a time, and the least number of parts of a length.
 SALT_ROWS = 50_000
 LEAST_SALTS = 256
@@ -88,62 +95,71 @@ def cut_documents(
 # -- configurations --------------------------------------------------------------------------
 
 
-def _best_pattern(sizes: list[int], values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The pattern of most value that fits a sequence (unbounded knapsack)."""
-    best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    worth = sorted(
-        (i for i in range(len(sizes)) if values[i] > 1e-9), key=lambda i: -values[i] / sizes[i]
-    )
-    for i in worth:
-        size, value = sizes[i], values[i]
-        # Along each residue class modulo `size`, how many copies to add is a running maximum.
-        for low in range(0, capacity + 1 - size, size):
-            part = slice(low + size, min(low + 2 * size, capacity + 1))
-            before = best[low : low + (part.stop - part.start)] + value
-            better = before > best[part] + 1e-12
-            best[part] = np.where(better, before, best[part])
-            taken[part] = np.where(better, i, taken[part])
+def _best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The pattern of most value that fits a sequence (unbounded knapsack, a piece at a time)."""
+    room = np.arange(capacity + 1) - sizes[:, None]
+    fits = room >= 0
+    best = [np.zeros(capacity + 1)]
+    taken = []
+    while True:
+        with_one = np.where(fits, best[-1][room] + values[:, None], -1.0)
+        last = with_one.argmax(0)
+        most = with_one.max(0)
+        better = most > best[-1] + 1e-12
+        if not better.any():
+            break
+        best.append(np.where(better, most, best[-1]))
+        taken.append(np.where(better, last, -1))
     pattern = np.zeros(len(sizes), int)
-    at = int(best.argmax())
-    total = float(best[at])
-    while at > 0 and taken[at] >= 0:
-        pattern[taken[at]] += 1
-        at -= sizes[taken[at]]
-    return total, pattern
+    at = capacity
+    for chosen in reversed(taken):
+        if chosen[at] >= 0:
+            pattern[chosen[at]] += 1
+            at -= sizes[chosen[at]]
+    return float(best[-1][capacity]), pattern
 
 
 def configurations(
-    sizes: list[int], counts: list[int], capacity: int, rounds: int = 400
+    sizes: list[int], counts: list[int], capacity: int
 ) -> list[tuple[np.ndarray, int]]:
     """(pattern, times): whole numbers of configurations that never exceed the counts.
 
     The linear programme "fewest sequences that hold `counts` pieces of `sizes`" is solved by
     the revised simplex method with column generation, then rounded down. At most one
-    configuration per size is in use.
+    configuration per size is in use. Counts are raised a little, each differently, so
+    that every step of the method makes progress and it ends at the optimum.
     """
     m = len(sizes)
     if not m:
         return []
+    width = np.array(sizes)
     demand = np.array(counts, float)
-    columns = [np.eye(m, dtype=int)[i] * (capacity // sizes[i]) for i in range(m)]
-    for _ in range(rounds):
-        basis = np.array(columns, float).T
-        prices = np.linalg.solve(basis.T, np.ones(m))
-        value, pattern = _best_pattern(sizes, prices, capacity)
-        if value <= 1 + 1e-7 or not pattern.any():
+    demand *= 1 + 1e-7 * np.random.default_rng(m).random(m)
+    basis = np.diag(capacity // width).astype(float)
+    inverse = np.linalg.inv(basis)
+    steps = 0
+    while True:
+        value, pattern = _best_pattern(width, inverse.sum(0), capacity)
+        if value <= 1 + 1e-9 or (basis == pattern[:, None]).all(0).any():
             break
-        amounts = np.linalg.solve(basis, demand)
-        change = np.linalg.solve(basis, pattern.astype(float))
-        ratio = np.full(m, np.inf)
+        amounts, change = inverse @ demand, inverse @ pattern
         grows = change > 1e-9
+        ratio = np.full(m, np.inf)
         ratio[grows] = np.maximum(amounts[grows], 0) / change[grows]
-        columns[int(ratio.argmin())] = pattern
-    amounts = np.linalg.solve(np.array(columns, float).T, demand)
+        out = int(ratio.argmin())
+        basis[:, out] = pattern
+        steps += 1
+        if steps % 50:
+            pivot = inverse[out] / change[out]
+            inverse -= np.outer(change, pivot)
+            inverse[out] = pivot
+        else:
+            inverse = np.linalg.inv(basis)
+    amounts = np.linalg.solve(basis, demand)
     left = np.array(counts, dtype=np.int64)
     plan = []
     for k in np.argsort(-amounts):
-        pattern = columns[k]
+        pattern = basis[:, k].astype(np.int64)
         used = pattern > 0
         times = min(int(amounts[k] + 1e-6), int((left[used] // pattern[used]).min()))
         if times > 0:
@@ -182,49 +198,117 @@ class Run:
     free: int
     items: list[tuple[int, int, int]]
 
-    def split(self, head: int) -> tuple[Run, Run]:
-        moved = [(n, first + head * places, places) for n, first, places in self.items]
-        return Run(head, self.free, list(self.items)), Run(self.count - head, self.free, moved)
+
+@dataclass
+class _Open:
+    """`count` equal sequences with room; `items` are (length, places) in each of them."""
+
+    count: int
+    free: int
+    items: list[tuple[int, int]]
 
 
 class _Supply:
-    """The pieces of each length that are not placed yet, by index."""
+    """How many pieces of each length are not placed yet."""
 
     def __init__(self, histogram: dict[int, int]):
-        self.next = dict.fromkeys(histogram, 0)
-        self.left = dict(histogram)
+        self.left = {n: c for n, c in histogram.items() if c}
+        self.lengths = sorted(self.left)
 
-    def take(self, length: int, number: int) -> int:
-        first = self.next[length]
-        self.next[length] += number
+    def take(self, length: int, number: int) -> None:
         self.left[length] -= number
-        return first
+        if not self.left[length]:
+            del self.left[length]
+            self.lengths.pop(bisect_left(self.lengths, length))
+
+    def give(self, length: int, number: int) -> None:
+        if length not in self.left:
+            insort(self.lengths, length)
+        self.left[length] = self.left.get(length, 0) + number
+
+    def longest(self, room: int) -> int | None:
+        """The longest piece left that fits."""
+        at = bisect_right(self.lengths, room)
+        return self.lengths[at - 1] if at else None
 
 
 def _substitute(
-    pattern: list[tuple[list[int], int]], times: int, capacity: int, supply: _Supply
-) -> list[Run]:
-    """Real lengths in place of a configuration's groups, in runs of equal sequences."""
+    slots: list[tuple[int, int]], times: int, capacity: int, supply: _Supply
+) -> list[_Open]:
+    """Real lengths in the slots (lowest, highest length) of a configuration, longest first.
+
+    Every slot but the last takes the longest piece left in its group, the last one the longest
+    that fits beside them.
+    """
     runs = []
     while times:
-        # The longest ones left go first; a run ends where one of its lengths runs out.
+        # Pieces already wanted by this sequence count as taken.
         wanted: dict[int, int] = {}
-        for group, places in pattern:
-            rest = places
-            for length in group:
-                use = min(rest, supply.left[length])
-                if use:
-                    wanted[length] = wanted.get(length, 0) + use
-                    rest -= use
-                if not rest:
-                    break
-        count = min([times, *(supply.left[n] // places for n, places in wanted.items())])
-        items = [(n, supply.take(n, count * places), places) for n, places in wanted.items()]
-        runs.append(Run(count, capacity - sum(n * places for n, places in wanted.items()), items))
+        room = capacity
+        for k, (low, high) in enumerate(slots):
+            last = k + 1 == len(slots)
+            at = bisect_right(supply.lengths, room if last else min(high, room)) - 1
+            while at >= 0 and wanted.get(supply.lengths[at], 0) >= supply.left[supply.lengths[at]]:
+                at -= 1
+            if at < 0 or supply.lengths[at] < low:
+                continue
+            length = supply.lengths[at]
+            wanted[length] = wanted.get(length, 0) + 1
+            room -= length
+        if not wanted:
+            break
+        count = min(times, *(supply.left[n] // places for n, places in wanted.items()))
+        for n, places in wanted.items():
+            supply.take(n, count * places)
+        runs.append(_Open(count, room, list(wanted.items())))
         times -= count
     return runs
 
 
+def _best_fit(runs: list[_Open], supply: _Supply, capacity: int) -> list[_Open]:
+    """Everything left, longest first, into the least room that holds it."""
+    open_runs: dict[int, list[_Open]] = defaultdict(list)
+    for run in runs:
+        open_runs[run.free].append(run)
+    spaces = sorted(open_runs)
+
+    def reopen(run: _Open) -> None:
+        if not open_runs[run.free]:
+            at = bisect_left(spaces, run.free)
+            if spaces[at : at + 1] != [run.free]:
+                spaces.insert(at, run.free)
+        open_runs[run.free].append(run)
+
+    while supply.lengths:
+        length = supply.lengths[-1]
+        number = supply.left[length]
+        at = bisect_left(spaces, length)
+        if at < len(spaces):
+            space = spaces[at]
+            run = open_runs[space].pop()
+            if not open_runs[space]:
+                spaces.pop(at)
+        else:
+            space = capacity
+            run = _Open(-(-number // (capacity // length)), capacity, [])
+        places = min(space // length, number)
+        filled = min(run.count, number // places)
+        if filled < run.count:
+            reopen(_Open(run.count - filled, run.free, list(run.items)))
+            run.count = filled
+        supply.take(length, filled * places)
+        run.items.append((length, places))
+        run.free -= places * length
+        reopen(run)
+    return [run for found in open_runs.values() for run in found]
+
+
+def fewest_possible(histogram: dict[int, int], capacity: int) -> int:
+    """A bound that no plan goes below: by sum, and by pieces of more than half a sequence."""
+    total = sum(n * c for n, c in histogram.items())
+    return max(-(-total // capacity), sum(c for n, c in histogram.items() if 2 * n > capacity))
+
+
 def plan_sequences(
     histogram: dict[int, int],
     capacity: int = CAPACITY,
@@ -232,46 +316,44 @@ def plan_sequences(
     large_share: int = LARGE_SHARE,
 ) -> list[Run]:
     """Runs of sequences that hold every piece of the histogram once."""
-    supply = _Supply(histogram)
-    large = {n: c for n, c in histogram.items() if n * large_share > capacity and n < capacity}
+    large = {n: c for n, c in histogram.items() if c and n * large_share > capacity and n < capacity}
     grouped = linear_groups(large, groups)
     sizes = [group[0] for group in grouped]
     counts = [sum(large[n] for n in group) for group in grouped]
-    runs: list[Run] = []
-    for pattern, times in configurations(sizes, counts, capacity):
-        chosen = [(grouped[i], int(k)) for i, k in enumerate(pattern) if k]
-        runs += _substitute(chosen, times, capacity, supply)
-    open_runs: dict[int, list[Run]] = defaultdict(list)
-    for run in runs:
-        open_runs[run.free].append(run)
-    spaces = sorted(open_runs)
+    chosen = [
+        ([(grouped[i][-1], grouped[i][0]) for i, k in enumerate(pattern) for _ in range(k)], times)
+        for pattern, times in configurations(sizes, counts, capacity)
+    ]
+    least = fewest_possible(histogram, capacity)
+    best: list[_Open] | None = None
+    for fill in FILLS:
+        supply = _Supply(histogram)
+        kept = []
+        for slots, times in chosen:
+            kept += _substitute(slots, times, capacity, supply)
+        for run in kept:
+            if capacity - run.free < fill * capacity:
+                for length, places in run.items:
+                    supply.give(length, run.count * places)
+        runs = _best_fit([r for r in kept if capacity - r.free >= fill * capacity], supply, capacity)
+        if best is None or sum(r.count for r in runs) < sum(r.count for r in best):
+            best = runs
+        if sum(r.count for r in best) <= least:
+            break
+    return _numbered(best or [])
 
-    def reopen(run: Run) -> None:
-        if run.free not in open_runs or not open_runs[run.free]:
-            if run.free not in spaces[bisect_left(spaces, run.free) :][:1]:
-                insort(spaces, run.free)
-        open_runs[run.free].append(run)
 
-    for length in sorted(histogram, reverse=True):
-        while (number := supply.left[length]) > 0:
-            at = bisect_left(spaces, length)
-            if at < len(spaces):
-                space = spaces[at]
-                run = open_runs[space].pop()
-                if not open_runs[space]:
-                    spaces.pop(at)
-            else:
-                space = capacity
-                run = Run(-(-number // (capacity // length)), capacity, [])
-            places = min(space // length, number)
-            filled = min(run.count, number // places)
-            if filled < run.count:
-                run, rest = run.split(filled)
-                reopen(rest)
-            run.items.append((length, supply.take(length, filled * places), places))
-            run.free -= places * length
-            reopen(run)
-    return [run for found in open_runs.values() for run in found]
+def _numbered(runs: list[_Open]) -> list[Run]:
+    """Pieces of each length in the order of the runs."""
+    seen: dict[int, int] = defaultdict(int)
+    found = []
+    for run in runs:
+        items = []
+        for length, places in run.items:
+            items.append((length, seen[length], places))
+            seen[length] += run.count * places
+        found.append(Run(run.count, run.free, items))
+    return found
 
 
 def run_rows(runs: list[Run]) -> Iterator[tuple[int, int, int, int, int, int]]:

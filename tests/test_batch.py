@@ -3,6 +3,7 @@
 import json
 from collections import Counter
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from wayfare.plans.batch import Sources, Warehouse, run_batch, warehouse_counts
 from wayfare.session import shared_dir
 from wayfare.sources import targets
 from wayfare.sources.targets import ParquetTable
+from wayfare.sources.versions import VersionedTable
 
 DATA = "/root/testdata/sf0.001"
 AS_OF = datetime(2001, 8, 1)
@@ -127,6 +129,49 @@ def test_incremental_run_within_a_day_equals_a_full_load(spark, sources):
     assert sum(found.values()) == sum(expected.values())
 
 
+def test_an_incremental_run_reads_no_stored_fact(spark, sources, monkeypatch):
+    warehouse = Warehouse.at(shared_dir(spark))
+    run_batch(spark, sources, warehouse, AS_OF, lookback_hours=None)
+    rows = warehouse.fct_trips.read(spark).count()
+    assert warehouse.fct_trips.last_key(spark) == rows
+    read = VersionedTable.read
+
+    def watched(table, session):
+        assert not table.path.endswith("fct_trips")
+        return read(table, session)
+
+    monkeypatch.setattr(VersionedTable, "read", watched)
+    run_batch(spark, sources, warehouse, AS_OF, lookback_hours=240, incremental=True)
+    monkeypatch.undo()
+    fact = warehouse.fct_trips.read(spark)
+    assert fact.filter("trip_date >= '2001-07-22'").agg(F.min("fct_trip_sk")).first()[0] == rows + 1
+    assert warehouse.fct_trips.last_key(spark) == fact.agg(F.max("fct_trip_sk")).first()[0]
+
+
+def test_the_gate_keeps_payments_from_multiplying_the_fact(spark, sources):
+    fx = fixture(spark, DATA)
+    dirty = Sources(sources.trips, sources.drivers, sources.zones, fx.payments_dirty)
+    open_gate, closed = Warehouse.at(shared_dir(spark)), Warehouse.at(shared_dir(spark))
+    run_batch(spark, dirty, open_gate, AS_OF, lookback_hours=None)
+    run_batch(spark, dirty, closed, AS_OF, lookback_hours=None, gate=True)
+    held = closed.quarantine.read(spark)
+    reasons = {r.reason: r["count"] for r in held.groupBy("reason").count().collect()}
+    assert set(reasons) == {"missing_key", "repeated_key"}
+    trips = staging.clean_trips(closed.stg_trips.read(spark))
+    assert closed.fct_trips.read(spark).count() == trips.count() < open_gate.fct_trips.read(spark).count()
+    logged = {r.pipeline: (r.rows_loaded, r.status) for r in closed.audit.read(spark).collect()}
+    assert logged["batch_quarantine"] == (held.count(), "warning_quarantined")
+    assert logged["batch"][1] == "success"
+
+
+def test_a_run_leaves_two_versions_at_most(spark, sources):
+    warehouse = Warehouse.at(shared_dir(spark))
+    for _ in range(3):
+        run_batch(spark, sources, warehouse, AS_OF, lookback_hours=None)
+    for table in (warehouse.stg_trips, warehouse.fct_trips):
+        assert len(list((Path(table.path.removeprefix("file:")) / "data").iterdir())) == 2
+
+
 def test_a_failed_run_is_logged(spark, sources):
     warehouse = Warehouse.at(shared_dir(spark))
     broken = Sources(sources.trips.drop("base_fare"), sources.drivers, sources.zones, sources.payments)

@@ -2,7 +2,9 @@
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfare.functions import driver_tier, exact_mean, is_cancelled, share, surge_multiplier
 from wayfare.operators import extract, quality, staging
@@ -74,14 +76,15 @@ def test_lookback_has_a_lower_bound_that_counts_and_no_upper_bound(spark):
     assert extract.recent(df, "t", None, None).count() == 4
 
 
-def test_conform_casts_what_is_there(spark):
+def test_conform_casts_and_misses_no_column(spark):
     df = spark.range(1).select(
         F.lit("7").alias("trip_id"), F.lit(1).alias("extra"),
         F.lit("2001-08-01 10:00:00").cast("timestamp").alias("requested_at"),
     )
-    assert conform(df, STAGED_TRIPS).dtypes == [
-        ("trip_id", "bigint"), ("requested_at", "timestamp_ntz")
-    ]
+    declared = StructType([STAGED_TRIPS["trip_id"], STAGED_TRIPS["requested_at"]])
+    assert conform(df, declared).dtypes == [("trip_id", "bigint"), ("requested_at", "timestamp_ntz")]
+    with pytest.raises(ValueError, match="no columns user_id, driver_id"):
+        conform(df, STAGED_TRIPS)
 
 
 def test_payment_rules(spark):

@@ -73,43 +73,69 @@ SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_orderkey END AS trip_id,
   CAST(CAST(50 + o_orderkey % 3451 AS DECIMAL(6,0)) * CAST(0.01 AS DECIMAL(3,2))
     AS DECIMAL(8,2)) AS distance_km,
   CAST(5 + o_orderkey % 200 AS INT) AS duration_min,
-  CASE WHEN o_orderstatus = 'P' AND o_orderkey % 4 <> 0 THEN 'user_cancelled' END
+  CASE WHEN o_orderstatus = 'P' AND o_orderkey % 4 <> 0 THEN 'rider_no_show' END
     AS cancellation_reason
 FROM {orders}""",
     # Every 7th payment is for a trip that does not exist, so that trip has none.
     "payments": """
 SELECT CASE WHEN o_orderkey % 7 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS trip_id,
   'ref-' || CAST(o_orderkey AS VARCHAR(20)) AS transaction_ref,
-  CASE CAST(o_orderkey % 6 AS INT) WHEN 0 THEN 'fawry' WHEN 1 THEN 'vodafone_cash'
-    WHEN 2 THEN 'instapay' WHEN 3 THEN 'mastercard' WHEN 4 THEN 'visa' ELSE 'cash' END
-    AS provider,
+  CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN 'bluepay' WHEN 1 THEN 'quicktap'
+    WHEN 2 THEN 'northbank' WHEN 3 THEN 'in_hand' ELSE 'unionpurse' END AS provider,
   CAST(o_totalprice AS DECIMAL(10,2)) AS amount_egp,
   CAST(CASE WHEN o_orderkey % 2 = 0 THEN 100 ELSE 0 END AS DECIMAL(10,2)) AS discount_egp,
   CAST(CAST(o_totalprice AS DECIMAL(10,2))
     - CAST(CASE WHEN o_orderkey % 2 = 0 THEN 100 ELSE 0 END AS DECIMAL(10,2))
     AS DECIMAL(10,2)) AS net_amount_egp,
-  CASE WHEN o_orderkey % 2 = 0 THEN 'SUMMER10' END AS promo_code,
-  CASE CAST(o_orderkey % 5 AS INT) WHEN 3 THEN 'refunded' WHEN 4 THEN 'failed'
-    ELSE 'success' END AS status,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'RIDE-100' END AS promo_code,
+  CASE CAST(o_orderkey % 4 AS INT) WHEN 1 THEN 'returned' WHEN 2 THEN 'declined'
+    ELSE 'settled' END AS status,
   o_orderdate AS created_at
 FROM {orders}""",
-    # Some payments name the trip after theirs, which then has two; some do not add up.
+    # Some payments name the trip after theirs, which then has two, or none; some do not add up.
     "payments_dirty": """
-SELECT CASE WHEN trip_id % 50 = 0 THEN trip_id + 1 ELSE trip_id END AS trip_id,
+SELECT CASE WHEN trip_id % 50 = 0 THEN trip_id + 1 WHEN trip_id % 103 = 0 THEN NULL
+    ELSE trip_id END AS trip_id,
   transaction_ref, provider, amount_egp,
   CASE WHEN trip_id % 223 = 0 THEN CAST(discount_egp + 1 AS DECIMAL(10,2))
     ELSE discount_egp END AS discount_egp,
   net_amount_egp,
   CASE WHEN trip_id % 211 = 0 THEN NULL ELSE promo_code END AS promo_code, status, created_at
 FROM {payments}""",
+    # Every column that is checked has missing, repeated or unknown values.
     "trips_dirty": """
-SELECT trip_id, driver_id, user_id + CASE WHEN user_id % 41 = 0 THEN 1000000000000 ELSE 0 END
-    AS user_id,
-  pickup_zone_id, dropoff_zone_id, base_fare, payment_method,
-  CASE WHEN user_id % 29 = 0 THEN 'lost' ELSE status END AS status,
+SELECT CASE WHEN user_id % 43 = 0 THEN trip_id - trip_id % 3 ELSE trip_id END AS trip_id,
+  driver_id,
+  user_id + CASE WHEN user_id % 41 = 0 THEN 1000000000000 ELSE 0 END AS user_id,
+  pickup_zone_id, dropoff_zone_id, base_fare,
+  CASE WHEN user_id % 19 = 0 THEN NULL WHEN user_id % 23 = 0 THEN 'barter'
+    ELSE payment_method END AS payment_method,
+  CASE WHEN user_id % 29 = 0 THEN 'lost' WHEN user_id % 17 = 0 THEN NULL ELSE status END
+    AS status,
   CASE WHEN user_id % 31 = 0 THEN NULL WHEN user_id % 37 = 0 THEN 'scooter'
     ELSE vehicle_type END AS vehicle_type
 FROM {trips}""",
+    "drivers_dirty": """
+SELECT CASE WHEN driver_id % 9 = 0 THEN driver_id - 1 ELSE driver_id END AS driver_id,
+  CASE WHEN driver_id % 7 = 2 THEN NULL ELSE full_name END AS full_name,
+  CASE WHEN driver_id % 8 = 3 THEN NULL
+    ELSE LPAD(CAST(driver_id - driver_id % 2 AS VARCHAR(20)), 14, '0') END AS national_id,
+  CASE WHEN driver_id % 6 = 5 THEN NULL ELSE phone END AS phone,
+  CASE WHEN driver_id % 5 = 1 THEN NULL WHEN driver_id % 5 = 4 THEN 'Rickshaw'
+    ELSE vehicle_type END AS vehicle_type,
+  CASE WHEN driver_id % 10 = 7 THEN NULL ELSE vehicle_plate END AS vehicle_plate,
+  rating, active, registered_zone
+FROM {drivers}""",
+    "users_dirty": """
+SELECT CASE WHEN user_id % 13 = 0 THEN user_id - 1 ELSE user_id END AS user_id,
+  CASE WHEN user_id % 11 = 5 THEN NULL ELSE full_name END AS full_name,
+  CASE WHEN user_id % 12 = 7 THEN NULL ELSE phone END AS phone
+FROM {users}""",
+    "zones_dirty": """
+SELECT CASE WHEN zone_id % 8 = 7 THEN zone_id - 1 ELSE zone_id END AS zone_id,
+  CASE WHEN zone_id % 9 = 4 THEN NULL ELSE zone_name END AS zone_name,
+  CASE WHEN zone_id % 10 = 3 THEN NULL ELSE governorate END AS governorate
+FROM {zones}""",
     # The event stream once parsed. Some records are not JSON: all their fields are NULL.
     "trip_events": """
 SELECT CASE WHEN event_id % 997 = 5 THEN NULL WHEN event_type = 'purchase'

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import text_enum
+from wayfare.session import materialise
 
 
 def _all_of(parts: Iterable[DataFrame]) -> DataFrame:
@@ -84,3 +85,21 @@ def unbalanced_payments(payments: DataFrame) -> DataFrame:
         "trip_id", "amount_egp", "discount_egp", "net_amount_egp", "promo_code",
         wrong_net.alias("wrong_net"), wrong_promo.alias("wrong_promo"),
     ).filter("wrong_net or wrong_promo")
+
+
+def first_of_each(rows: DataFrame, key: str, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that are the first of their key, the others with a `reason`).
+
+    The first one is the least by `order`, of equal ones any single row. Rows without a key are
+    held back as `missing_key`, the rest as `repeated_key`. The first of each key is an aggregate
+    that is joined back, so one key may hold any share of the rows.
+    """
+    slotted = materialise(rows.withColumn("_slot", F.monotonically_increasing_id()))
+    place = F.struct(*order, "_slot")
+    first = slotted.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(place).alias("_first"))
+    marked = slotted.join(first, key, "left").withColumn(
+        "_is_first", F.coalesce(F.col("_first._slot") == F.col("_slot"), F.lit(False))
+    )
+    reason = F.when(F.col(key).isNull(), "missing_key").otherwise("repeated_key")
+    held = marked.filter(~F.col("_is_first")).select(*rows.columns, reason.alias("reason"))
+    return marked.filter("_is_first").select(*rows.columns), held

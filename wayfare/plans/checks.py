@@ -113,8 +113,8 @@ def run_quality(
 
 def run_reports(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     """All reports, from the gold tables as they are stored."""
-    configure(spark)
     fact, drivers = warehouse.fct_trips.read(spark), warehouse.dim_drivers.read(spark)
+    configure(spark, planned_bytes(fact, drivers))
     return {
         "kpi_overview": reports.kpi_overview(fact),
         "revenue_trend": reports.revenue_trend(fact),

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
+from pyspark.sql.window import Window
 
 from wayfare import schemas
 from wayfare.fixtures import Fixture, fixture, with_views
@@ -35,6 +38,8 @@ LATE_TOLERANCE = "7 days"
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+# The SQL as written, without the tables it stands on.
+STATED: dict[str, str] = {}
 
 
 # Staging and gold as SQL, for the queries above them.
@@ -136,6 +141,7 @@ def query(sql: str, name: str = "") -> Callable[[Callable[[Fixture], DataFrame]]
             return _comparable(build(fixture(spark, folder)))
 
         QUERIES[name or build.__name__] = run
+        STATED[name or build.__name__] = sql
         ORACLE[name or build.__name__] = with_views(sql, GOLD)
         return run
 
@@ -517,35 +523,123 @@ def star_trips_by_tier(fx: Fixture) -> DataFrame:
     return reports.star_trips_by_tier(_fact(fx), _dim(fx))
 
 
-@query(f"""
-SELECT d.driver_tier, {_TRIPS}, {_REVENUE}
-FROM fact f LEFT JOIN dim d ON f.driver_id = d.driver_id GROUP BY d.driver_tier""")
+# Key columns and measures of every report.
+_REPORTS = {
+    "kpi_overview": (
+        (), ("trips", "completed_trips", "cancelled_trips", "cancel_rate", "revenue_egp", "avg_distance_km"),
+    ),
+    "revenue_trend": (("trip_date",), ("trips", "revenue_egp")),
+    "trips_by_governorate": (("pickup_governorate",), ("trips", "revenue_egp")),
+    "by_vehicle_type": (("vehicle_type",), ("trips", "revenue_egp", "avg_surge_multiplier")),
+    "by_payment": (("payment_method", "payment_provider"), ("trips", "net_amount_egp")),
+    "peak_hours": (("trip_hour",), ("trips",)),
+    "drivers_by_tier": (("driver_tier",), ("drivers", "avg_rating")),
+    "drivers_by_geo": (("governorate", "vehicle_type"), ("drivers",)),
+    "driver_performance": (
+        ("driver_id", "full_name", "driver_tier"), ("trips", "revenue_egp", "cancel_rate"),
+    ),
+    "star_trips_by_tier": (("driver_tier",), ("trips", "revenue_egp")),
+}
+
+
+def _key_sql(keys: tuple[str, ...]) -> str:
+    return " || '|' || ".join(f"COALESCE(CAST({key} AS VARCHAR), '-')" for key in keys) or "''"
+
+
+@query("\nUNION ALL ".join(
+    f"SELECT '{name}' AS report, {_key_sql(keys)} AS keys, '{measure}' AS measure,"
+    f" CAST({measure} AS DOUBLE) AS value FROM ({STATED[name]})"
+    for name, (keys, measures) in _REPORTS.items() for measure in measures
+))
 def reports_from_gold(fx: Fixture) -> DataFrame:
-    """The star join again, from gold that a full batch run stored."""
+    """All ten reports, from gold that a full batch run stored: one row for each figure."""
     warehouse = Warehouse.at(shared_dir(fx.spark))
     sources = Sources(fx.trips, fx.drivers, fx.zones, fx.payments)
     run_batch(fx.spark, sources, warehouse, datetime.fromisoformat(AS_OF), lookback_hours=None)
-    return run_reports(fx.spark, warehouse)["star_trips_by_tier"]
+    found = run_reports(fx.spark, warehouse)
+    rows = []
+    for name, (keys, measures) in _REPORTS.items():
+        parts = [F.coalesce(F.col(key).cast("string"), F.lit("-")) for key in keys]
+        label = F.concat_ws("|", *parts).alias("keys")
+        values = [F.col(measure).cast("double").alias(measure) for measure in measures]
+        report = found[name].select(F.lit(name).alias("report"), label, *values)
+        rows.append(report.unpivot(["report", "keys"], list(measures), "measure", "value"))
+    return reduce(DataFrame.unionByName, rows)
 
 
 _FACT_KEYS = "trip_id, user_id, driver_id, pickup_governorate, trip_date, payment_provider, promo_code"
+# The look-back of 30 days from one o'clock, back to midnight.
+_SINCE = "2001-07-02"
 
 
 @query(f"""
-SELECT {_FACT_KEYS}, {_as_double("base_fare", "net_amount_egp")}
+SELECT {_FACT_KEYS}, {_as_double("base_fare", "net_amount_egp")}, CAST(1 AS BIGINT) AS key_copies,
+  CASE WHEN trip_date >= DATE '{_SINCE}' THEN 'tuk_tuk' ELSE vehicle_type END AS vehicle_type
 FROM fact""")
 def gold_incremental(fx: Fixture) -> DataFrame:
-    """A full load, then an incremental one inside a day: the fact but for its key."""
+    """A full load, then one of the last 30 days, in which the vehicle of every trip has changed.
+
+    Days before stay as they were, and no key is given twice.
+    """
     warehouse = Warehouse.at(shared_dir(fx.spark))
-    sources = Sources(fx.trips, fx.drivers, fx.zones, fx.payments)
     as_of = datetime.fromisoformat(AS_OF).replace(hour=1)
+    sources = Sources(fx.trips, fx.drivers, fx.zones, fx.payments)
     run_batch(fx.spark, sources, warehouse, as_of, lookback_hours=None)
-    # As far back as the payments of the last days go with their trips.
-    hours = 24 * 3650
-    run_batch(fx.spark, sources, warehouse, as_of, lookback_hours=hours, incremental=True)
+    changed = Sources(
+        fx.trips.withColumn("vehicle_type", F.lit("tuk_tuk")), fx.drivers, fx.zones, fx.payments
+    )
+    run_batch(fx.spark, changed, warehouse, as_of, lookback_hours=LOOKBACK_HOURS, incremental=True)
     fact = warehouse.fct_trips.read(fx.spark)
+    copies = F.count(F.lit(1)).over(Window.partitionBy("fct_trip_sk")).alias("key_copies")
     columns = [c.strip() for c in _FACT_KEYS.split(",")]
-    return fact.select(*columns, "base_fare", "net_amount_egp")
+    return fact.select(*columns, "base_fare", "net_amount_egp", copies, "vehicle_type")
+
+
+@query(f"""
+SELECT load, {_FACT_KEYS}, {_as_double("base_fare", "surge_fare", "net_amount_egp")}
+FROM fact, (VALUES ('full'), ('incremental')) AS loads(load)""")
+def load_failed_keeps_previous(fx: Fixture) -> DataFrame:
+    """A full load, then loads of all days and of the last ones that fail midway: the fact stays."""
+    warehouse = Warehouse.at(shared_dir(fx.spark))
+    as_of = datetime.fromisoformat(AS_OF)
+    run_batch(
+        fx.spark, Sources(fx.trips, fx.drivers, fx.zones, fx.payments), warehouse, as_of, lookback_hours=None
+    )
+    last = fx.trips.agg(F.max("trip_id")).first()[0]
+    broken = F.when(F.col("trip_id") == last, F.raise_error(F.lit("source gone"))).otherwise(F.col("surge_fare"))
+    trips = fx.trips.withColumns({
+        "surge_fare": broken.cast("decimal(10,2)"), "requested_at": F.lit(AS_OF).cast("timestamp_ntz"),
+        "base_fare": F.lit(1).cast("decimal(10,2)"), "pickup_zone_id": F.lit(1), "dropoff_zone_id": F.lit(1),
+    })
+    sources = Sources(trips, fx.drivers, fx.zones, fx.payments)
+    seen = []
+    for load, hours in (("full", None), ("incremental", LOOKBACK_HOURS)):
+        try:
+            run_batch(fx.spark, sources, warehouse, as_of, hours, incremental=hours is not None)
+        except PySparkException:
+            fact = warehouse.fct_trips.read(fx.spark)
+            columns = [c.strip() for c in _FACT_KEYS.split(",")]
+            seen.append(fact.select(F.lit(load).alias("load"), *columns, "base_fare", "surge_fare", "net_amount_egp"))
+        else:
+            raise RuntimeError("the load should have failed")
+    return reduce(DataFrame.unionByName, seen)
+
+
+@query(f"""
+SELECT trip_id, transaction_ref, provider, {_as_double("net_amount_egp")}, created_at,
+  CASE WHEN trip_id IS NULL THEN 'missing_key' ELSE 'repeated_key' END AS reason
+FROM payments_dirty
+QUALIFY trip_id IS NULL OR ROW_NUMBER() OVER (PARTITION BY trip_id ORDER BY created_at, transaction_ref) > 1""")
+def quarantined_payments(fx: Fixture) -> DataFrame:
+    """What the gate of a batch run holds back: payments that would multiply the fact."""
+    warehouse = Warehouse.at(shared_dir(fx.spark))
+    sources = Sources(fx.trips, fx.drivers, fx.zones, fx.payments_dirty)
+    run_batch(
+        fx.spark, sources, warehouse, datetime.fromisoformat(AS_OF), lookback_hours=None, gate=True
+    )
+    return warehouse.quarantine.read(fx.spark).select(
+        "trip_id", "transaction_ref", "provider", "net_amount_egp", "created_at", "reason"
+    )
 
 
 @query("""
@@ -578,7 +672,7 @@ _REQUIRED = {
     "drivers": ("full_name", "national_id", "phone", "vehicle_type", "vehicle_plate"),
     "users": ("full_name", "phone"),
 }
-_TABLES = {"trips": "trips_dirty"}
+_TABLES = {table: f"{table}_dirty" for table in _REQUIRED}
 
 
 @query("\nUNION ALL ".join(
@@ -594,11 +688,11 @@ def dq_nulls(fx: Fixture) -> DataFrame:
 
 _UNIQUE = (
     ("trips", "trips_dirty", "trip_id"),
-    ("drivers", "drivers", "driver_id"),
-    ("drivers", "drivers", "national_id"),
-    ("users", "users", "user_id"),
-    ("users", "users", "phone"),
-    ("zones", "zones", "zone_id"),
+    ("drivers", "drivers_dirty", "driver_id"),
+    ("drivers", "drivers_dirty", "national_id"),
+    ("users", "users_dirty", "user_id"),
+    ("users", "users_dirty", "phone"),
+    ("zones", "zones_dirty", "zone_id"),
     ("payments", "payments_dirty", "trip_id"),
 )
 
@@ -640,7 +734,7 @@ _DOMAINS = (
     ("trips", "trips_dirty", "status", schemas.TRIP_STATUSES),
     ("trips", "trips_dirty", "vehicle_type", schemas.VEHICLE_TYPES),
     ("trips", "trips_dirty", "payment_method", schemas.PAYMENT_METHODS),
-    ("drivers", "drivers", "vehicle_type", schemas.VEHICLE_TYPES),
+    ("drivers", "drivers_dirty", "vehicle_type", schemas.VEHICLE_TYPES),
 )
 
 

@@ -84,6 +84,8 @@ STAGED_PAYMENTS = schema(
     net_amount_egp=_MONEY, promo_code=_TEXT, status=_TEXT, created_at=_TIME, _loaded_at=_TIME,
 )
 
+QUARANTINED_PAYMENTS = StructType([*STAGED_PAYMENTS.fields, StructField("reason", _TEXT)])
+
 FCT_TRIPS = schema(
     fct_trip_sk=_LONG, trip_id=_LONG, user_id=_LONG, driver_id=_LONG, pickup_zone_id=_INT,
     dropoff_zone_id=_INT, trip_status=_TEXT, vehicle_type=_TEXT, payment_method=_TEXT,
@@ -124,12 +126,12 @@ AUDIT = schema(
 
 
 def conform(df: DataFrame, declared: StructType) -> DataFrame:
-    """Project to the columns of `declared` that `df` has, cast to the declared types.
+    """Project to the columns of `declared`, cast to the declared types.
 
     Database drivers return enums as their own type and timestamps with a zone; both end
-    here as text and as zone-free timestamps.
+    here as text and as zone-free timestamps. A declared column that is missing is an error.
     """
-    present = set(df.columns)
-    return df.select(
-        [F.col(f.name).cast(f.dataType).alias(f.name) for f in declared if f.name in present]
-    )
+    missing = [f.name for f in declared if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"the source has no columns {', '.join(missing)}")
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in declared])

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql.types import StructType
 from wayfare.operators.numbering import in_key_order
 from wayfare.schemas import conform
 from wayfare.session import read_if_present
+from wayfare.sources.versions import Pending, VersionedTable
 
 
 @dataclass(frozen=True)
@@ -26,13 +28,16 @@ class ParquetTable:
         # A partition column would come last.
         return read_if_present(spark, self.path, self.schema).select(*self.schema.names)
 
-    def save(self, df: DataFrame, mode: str, only_touched_partitions: bool = False) -> None:
-        writer = df.write.mode(mode)
-        if self.partition_by:
-            writer = writer.partitionBy(self.partition_by)
-            overwrite = "dynamic" if only_touched_partitions else "static"
-            writer = writer.option("partitionOverwriteMode", overwrite)
-        writer.parquet(self.path)
+    def save(self, df: DataFrame, mode: str) -> int:
+        """Write in place; readers see a replacement while it happens. Returns the rows."""
+
+        def write(rows: DataFrame) -> None:
+            writer = rows.write.mode(mode)
+            if self.partition_by:
+                writer = writer.partitionBy(self.partition_by).option("partitionOverwriteMode", "static")
+            writer.parquet(self.path)
+
+        return _counted(df, write)
 
 
 @dataclass(frozen=True)
@@ -49,10 +54,8 @@ class DatabaseTable:
         scan = spark.read.jdbc(self.url, self.table, properties=dict(self.properties))
         return conform(scan, self.schema)
 
-    def save(self, df: DataFrame, mode: str, only_touched_partitions: bool = False) -> None:
-        if only_touched_partitions:
-            raise ValueError("a database table has no partitions to overwrite")
-        self._writer(df, mode).save()
+    def save(self, df: DataFrame, mode: str) -> int:
+        return _counted(df, lambda rows: self._writer(rows, mode).save())
 
     def _writer(self, df: DataFrame, mode: str) -> DataFrameWriter:
         return (
@@ -67,7 +70,7 @@ class DatabaseTable:
         )
 
 
-Table = ParquetTable | DatabaseTable
+Table = ParquetTable | VersionedTable | DatabaseTable
 
 
 def stamp_loaded(df: DataFrame) -> DataFrame:
@@ -75,42 +78,56 @@ def stamp_loaded(df: DataFrame) -> DataFrame:
     return df.withColumn("_loaded_at", F.current_timestamp().cast("timestamp_ntz"))
 
 
-def _counted_save(df: DataFrame, table: Table, mode: str, **options: bool) -> int:
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     seen = Observation()
-    table.save(df.observe(seen, F.count(F.lit(1)).alias("rows")), mode, **options)
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     return seen.get["rows"]
 
 
 def full_refresh(df: DataFrame, table: Table) -> int:
     """Replace the contents. Returns the rows written, counted while writing.
 
-    `df` must not read the table it replaces.
+    In a versioned table a load that fails leaves what was there. `df` may read the table it
+    replaces only if that is versioned.
     """
-    return _counted_save(df, table, "overwrite")
+    return table.save(df, "overwrite")
 
 
 def refresh_unless_empty(df: DataFrame, table: Table) -> int:
     """Replace the contents, but keep them when there is nothing new; returns rows written."""
+    if isinstance(table, VersionedTable):
+        pending = table.write(df)
+        if pending.rows:
+            return pending.commit(df.sparkSession)
+        pending.abort(df.sparkSession)
+        return 0
     return 0 if df.isEmpty() else full_refresh(df, table)
 
 
 def append(df: DataFrame, table: Table) -> int:
     """Add rows. A repeated load adds them again."""
-    return _counted_save(df, table, "append")
-
-
-def refresh_partitions(df: DataFrame, table: ParquetTable) -> int:
-    """Replace only the partitions that `df` has rows for."""
-    return _counted_save(df, table, "overwrite", only_touched_partitions=True)
-
-
-def drop_partitions(spark: SparkSession, table: ParquetTable, values: Sequence[object]) -> None:
-    """Remove the folders of these values of the partition column; missing ones are passed over."""
-    jvm = spark.sparkContext._jvm
-    for value in values:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{table.path}/{table.partition_by}={value}")
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.delete(folder, True)
+    return table.save(df, "append")
+
+
+def publish_together(
+    spark: SparkSession, loads: Sequence[tuple[DataFrame, Table, date | None]]
+) -> None:
+    """Replace several tables, or what they hold from a day on, only once all are written."""
+    written: list[Pending] = []
+    try:
+        for df, table, since in loads:
+            if isinstance(table, VersionedTable):
+                written.append(table.write(df, since=since))
+            elif since is None:
+                full_refresh(df, table)
+            else:
+                raise ValueError("only a versioned table can be replaced from a day on")
+    except BaseException:
+        for pending in written:
+            pending.abort(spark)
+        raise
+    for pending in written:
+        pending.commit(spark)
 
 
 def in_partition_layout(df: DataFrame, column: str) -> DataFrame:
@@ -122,6 +139,6 @@ def in_partition_layout(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", column)
 
 
-def append_ordered(df: DataFrame, key: str, table: ParquetTable) -> int:
+def append_ordered(df: DataFrame, key: str, table: ParquetTable | VersionedTable) -> int:
     """Add rows in files whose order is the total order of `key`."""
     return append(in_key_order(df, key), table)

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from wayfare.llm import hashing
 from wayfare.llm import substrings as S
 
 
@@ -104,8 +105,8 @@ def test_sorted_numbers_survive_packing():
 
 
 def test_hashes_do_not_depend_on_the_place(monkeypatch):
-    monkeypatch.setattr(S, "_CHUNK", 64)
-    monkeypatch.setattr(S, "_tables", [])
+    monkeypatch.setattr(hashing, "_CHUNK", 64)
+    monkeypatch.setattr(hashing, "_tables", [])
     words = [b"one", b"two", b"three", "dreiß".encode(), b"y" * 65, b"z" * 500, b"a"]
     texts = [b" ".join(words), b"\n\t " + b"  ".join(words[2:]), b"", b" ", b"a"]
     bundle = S.Bundle(texts, 1)

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from wayfare.llm import elias_fano, packing, prefix_bpe, repetition, simhash
 from wayfare.llm.common import table
 from wayfare.llm.components import connected_components
-from wayfare.llm.tokens import cut, default_path, library_coder
+from wayfare.llm.tokens import chunk_starts, default_path, library_coder
 from wayfare.session import shared_dir
 
 
@@ -39,9 +39,16 @@ def random_texts(seed, number, longest=40):
 # -- tokens and BPE --------------------------------------------------------------------------
 
 
-def test_chunks_join_to_the_text():
-    for text in random_texts(1, 500):
-        assert " ".join(cut(text)) == text
+def test_chunks_begin_where_pieces_do(tokenizer):
+    texts = [*random_texts(1, 400), "don't, 'tis!'s a12b  c\n\nd \n e.f–g über×ß  ", "", " ", "  x", "x "]
+    said = [text.encode() for text in texts]
+    edges = np.cumsum([0, *map(len, said)])
+    starts = chunk_starts(np.frombuffer(b"".join(said), np.uint8), edges[:-1]).tolist()
+    for text, data, a, b in zip(texts, said, edges, edges[1:]):
+        pieces = {len(text[: place[0]].encode()) for _, place in tokenizer.pre_tokenizer.pre_tokenize_str(text)}
+        mine = {start - a for start in starts if a <= start < b}
+        if "<|endoftext|>" not in text:
+            assert mine <= pieces and bool(mine) == bool(data)
 
 
 @pytest.mark.parametrize("coder", [library_coder, prefix_bpe.prefix_coder])

@@ -84,7 +84,7 @@ class PrefixCoder:
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self._special = regex.compile(f"({marks})") if marks else None
         self.chunks = ChunkCoder(
-            lambda chunks, blank: (self.encode_plain(blank + chunk) for chunk in chunks),
+            lambda chunks: map(self.encode_plain, chunks),
             self.encode_text,
             self.special,
         )

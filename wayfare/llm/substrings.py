@@ -30,17 +30,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import bounded_batches, file_place, text_of
+from wayfare.llm.hashing import mixed, word_hashes, word_places
 from wayfare.session import materialise_with, shared_dir
 
 WINDOW = 35
 # Words of a bundle; a longer document is a bundle of its own.
-BUNDLE_WORDS = 1_250_000
+BUNDLE_WORDS = 1_000_000
 # Hash rows of the sketch, and cells of each row for every window.
 SKETCH_ROWS = 2
 CELLS = 4
@@ -49,67 +49,12 @@ SHARD_ENTRIES = 2_000_000
 # The row number of entries that are whole hashes of windows.
 EXACT = -1
 
-# Bytes hashed at once, and the length from which a word has a hash of another kind.
-_CHUNK = 1 << 19
-_LONG = 64
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64
+# Odd numbers that windows are mixed with, by lane.
 _MIX = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F))
-_BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
-# -- hashes of words and windows -------------------------------------------------------------
 
-
-def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
-    def run(b: int) -> np.ndarray:
-        steps = np.full(_CHUNK + 1, b, _U)
-        steps[0] = 1
-        return np.cumprod(steps)
-
-    return run(base), run(pow(base, -1, 1 << 64))
-
-
-_tables: list[tuple[np.ndarray, np.ndarray]] = []
-
-
-def _mix(x: np.ndarray, lane: int) -> np.ndarray:
-    x = (x ^ (x >> _U(31))) * _MIX[lane]
-    return x ^ (x >> _U(29))
-
-
-def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words start and end in UTF-8 bytes; the blanks are the six ASCII ones."""
-    seen = np.zeros(len(data) + 2, np.int8)
-    seen[1:-1] = ~_BLANK[data]
-    steps = np.diff(seen)
-    return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
-
-
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """128 bits for each word, in two lanes: polynomials of its bytes, or XXH3 of a long word."""
-    if not _tables:
-        _tables.extend(map(_powers, _BASES))
-    out = np.zeros((2, len(starts)), _U)
-    at = 0
-    while at < len(starts):
-        low = starts[at]
-        to = max(at + 1, int(np.searchsorted(ends, low + _CHUNK, side="right")))
-        if ends[to - 1] - low <= _CHUNK:
-            part = data[low : ends[to - 1]].astype(_U) + _U(1)
-            first, last = starts[at:to] - low, ends[at:to] - low
-            sums = np.zeros(len(part) + 1, _U)
-            for lane, (powers, inverses) in enumerate(_tables):
-                np.cumsum(part * powers[: len(part)], out=sums[1:])
-                out[lane, at:to] = (sums[last] - sums[first]) * inverses[first]
-        at = to
-    lengths = ends - starts
-    for lane in (0, 1):
-        out[lane] = _mix(out[lane] + lengths.astype(_U) * _MIX[1 - lane], lane)
-    for k in np.flatnonzero(lengths > _LONG).tolist():
-        digest = xxhash.xxh3_128_intdigest(data[starts[k] : ends[k]].tobytes())
-        out[:, k] = [digest >> 64, digest & (1 << 64) - 1]
-    return out
+# -- windows ----------------------------------------------------------------------------------
 
 
 def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
@@ -118,7 +63,7 @@ def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
     def joined(first: np.ndarray, second: np.ndarray, after: int) -> np.ndarray:
         n = max(0, second.shape[1] - after)
         return np.stack([
-            _mix(first[lane, :n] * _MIX[1 - lane] + second[lane, after : after + n], lane)
+            mixed(first[lane, :n] * _MIX[1 - lane] + second[lane, after : after + n], lane)
             for lane in (0, 1)
         ])
 
@@ -234,8 +179,8 @@ class Sketch:
         """The cells of the windows in a row of the sketch, or the whole hashes."""
         if row == EXACT:
             return Runs(hashes)
-        mixed = _mix(hashes[0] + _U(2 * row + 1) * hashes[1], row % 2)
-        return Runs((mixed >> _U(64 - self.bits))[None])
+        cells = mixed(hashes[0] + _U(2 * row + 1) * hashes[1], row % 2)
+        return Runs((cells >> _U(64 - self.bits))[None])
 
     def cuts(self, runs: Runs, row: int) -> np.ndarray:
         """Where the entries of each shard begin: shards go by the highest bits."""

@@ -4,6 +4,7 @@ import datetime
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -15,6 +16,7 @@ import corpus_pipeline
 from oracle import compare
 from wayfare.llm import pii, secrets, urls, vafile, weak_labels
 from wayfare.llm.registry import ORACLE, QUERIES
+from wayfare.session import materialise
 
 DATA = "/root/testdata/sf0.001"
 
@@ -241,6 +243,69 @@ def test_redacting_odd_rows(odd):
     assert texts[8, "[secret]\" mail a.b@c.de and 10.0.0.256 then 10.0.0.25"] == 1
 
 
+def test_a_text_of_very_many_secrets(spark):
+    source = random.Random(11)
+    words = [f"{source.getrandbits(128):032x}" for _ in range(100_000)]
+    words[::10] = ["plain words"] * 10_000
+    text = " é ".join(words)
+    docs = spark.createDataFrame([(1, text, "me"), (2, "none", "me")], "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    assert found[1].n_hex == sum(1 for m in re.finditer("[0-9a-f]{24,}", text))
+    assert [(s.start, s.kind, s.end) for s in found[1].spans if s.kind < 3] == plain_secrets(text)
+    texts = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert texts[1] == re.sub("[0-9a-f]{24,}", "[secret]", text) and texts[2] == "none"
+
+
+def test_work_grows_with_the_matches_of_a_text(spark):
+    def seconds(n):
+        text = " ".join(f"{k:032x}" for k in range(n))
+        docs = spark.createDataFrame([(1, text, "me")], "doc_id long, text string, source string")
+        began = time.perf_counter()
+        assert secrets.redact(docs).count() == 1 and secrets.digests(docs).first().n_hex == n
+        return time.perf_counter() - began
+
+    seconds(1000)
+    few, many = seconds(20_000), seconds(160_000)
+    assert many < 8 * few + 10
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 16_384])
+def test_redaction_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(secrets, "BLOCK", block)
+    source = random.Random(block)
+    rows = []
+    for k in range(40):
+        text = "".join(source.choices("ab é漢\n😀", k=source.randrange(30)))
+        spans = [(a, a + source.randrange(1, 9)) for a in source.choices(range(len(text) or 1), k=source.randrange(6))]
+        rows.append((k, text, [(a, min(b, len(text))) for a, b in spans if a < len(text)]))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "_wf_row long, text string")
+    spans = spark.createDataFrame([(k, a, b) for k, _, s in rows for a, b in s], "_wf_row long, start long, end long")
+    found = {r._wf_row: r._new for r in secrets._cut_out(docs, secrets._islands(spans), "#").collect()}
+    for k, text, own in rows:
+        out, at = "", 0
+        for a, b in sorted(own):
+            if a >= at:
+                out += text[at:a] + "#"
+            at = max(at, b)
+        assert found.get(k, text) == out + text[at:]
+
+
+def test_only_hashes_of_secrets_are_stored(spark, monkeypatch, tmp_path):
+    stored = []
+
+    def keep(df):
+        stored.append(df)
+        return materialise(df)
+
+    monkeypatch.setattr(secrets, "materialise", keep)
+    own = "Zz9Yy8Xx7Ww6Vv5Uu4Tt"
+    docs = spark.createDataFrame([(1, f"token = {own}", "me")], "doc_id long, text string, source string")
+    secrets.digests(docs).collect()
+    assert stored
+    for df in stored:
+        assert own not in str(df.collect())
+
+
 # -- URL lists -------------------------------------------------------------------------------
 
 

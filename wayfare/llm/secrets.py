@@ -7,13 +7,16 @@ value of few owners that looks random is treated as live, and every place where
 also without a keyword before it, is reported.
 
 Positions come from the pieces between matches: `split` and `regexp_extract_all` with the same
-pattern alternate, so running sums of their lengths give the code points.
+pattern alternate, so running sums of their lengths give the code points. These sums, and which
+spans overlap, are windows over the matches of a text, so the work grows with the number of
+matches, not its square. Only hashes of values leave the task that read the text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayfare.llm.common import ROW, fields_of, text_of, whole_rows
 from wayfare.session import materialise
@@ -33,43 +36,56 @@ LEAST_DISTINCT = 8
 # A value of more distinct owners and repositories than these is an example.
 MAX_OWNERS = 3
 MAX_REPOSITORIES = 5
+# Code points of a text that are redacted at a time.
+BLOCK = 16_384
 
+STEPS = "array<struct<kind:int,i:int,before:int,size:int,hash:string,random:boolean,used:boolean>>"
+SPANS = "array<struct<start:bigint,kind:int,end:bigint,verdict:string>>"
 
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """Array of (start, end, value) of the leftmost matches that do not overlap.
 
-    `value` is the text of `group`. Offsets are code points, end exclusive.
+def looks_random(value: Column) -> Column:
+    """Of several different characters, with letters and digits, as live credentials are."""
+    distinct = F.size(F.array_distinct(F.filter(F.split(value, ""), lambda c: c != "")))
+    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+    return (distinct >= LEAST_DISTINCT) & mixed
+
+
+def steps(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
+    """Array of the leftmost matches that do not overlap, each with the piece before it.
+
+    Fields: kind, i (from 0), before and size (code points), hash and random of the value, which
+    is the text of `group`, and used: whether the value is long enough.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     between = F.split(text, pattern, -1)
-    values = F.zip_with(whole, value, lambda m, v: F.struct(m.alias("m"), v.alias("v")))
-    # There is one piece more than matches; the last one is left out.
-    steps = F.zip_with(
-        values, F.slice(between, 1, F.size(whole)), lambda z, b: F.struct(z.alias("z"), b.alias("b"))
-    )
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-
-    def add(state: Column, z: Column) -> Column:
-        start = state["at"] + F.length(z["b"])
-        end = start + F.length(z["z"]["m"])
-        row = F.struct(
-            start.cast("bigint").alias("start"), end.cast("bigint").alias("end"),
-            z["z"]["v"].alias("value"),
-        )
+    least = LEAST_ASSIGNED if kind == 0 else 0
+
+    def judged(match: Column, said: Column) -> Column:
         return F.struct(
-            end.cast("bigint").alias("at"), F.concat(state["rows"], F.array(row)).alias("rows")
+            F.length(match).alias("size"), F.md5(said.cast("binary")).alias("hash"),
+            looks_random(said).alias("random"), (F.length(said) >= least).alias("used"),
         )
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("rows"))
-    found = F.aggregate(steps, start, add, lambda s: s["rows"])
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    values = F.zip_with(whole, value, judged)
+    # There is one piece more than matches; the last one is left out.
+    pairs = F.zip_with(
+        values, F.slice(between, 1, F.size(between) - 1), lambda z, b: F.struct(z.alias("z"), F.length(b).alias("b"))
+    )
+    found = F.transform(
+        pairs,
+        lambda x, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("i"), x["b"].alias("before"), x["z"]["size"].alias("size"),
+            x["z"]["hash"].alias("hash"), x["z"]["random"].alias("random"), x["z"]["used"].alias("used"),
+        ),
+    )
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(STEPS))
 
 
-def with_candidates(
+def with_steps(
     docs: DataFrame, owner: Column, repository: Column, row: Column | None = None
 ) -> DataFrame:
-    """doc_id, row, owner, repository, base spans and candidates of every row, without texts."""
+    """doc_id, row, owner, repository and matches of all patterns of every row, without texts."""
     text = F.col("_text")
     row = F.monotonically_increasing_id() if row is None else row
     read = docs.select(
@@ -77,19 +93,47 @@ def with_candidates(
         owner.cast("string").alias("_owner"), repository.cast("string").alias("_repo"),
         text_of().alias("_text"),
     )
-    assigned = F.filter("_assign", lambda m: F.length(m["value"]) >= LEAST_ASSIGNED)
-    return read.select(
-        ROW, "doc_id", "_owner", "_repo",
-        matches(text, ASSIGN, 2).alias("_assign"), matches(text, ACCESS).alias("_access"),
-        matches(text, HEX).alias("_hex"), matches(text, TOKEN).alias("_tokens"),
-    ).withColumn("_assign", assigned)
+    every = (steps(text, ASSIGN, 0, 2), steps(text, ACCESS, 1), steps(text, HEX, 2), steps(text, TOKEN, 3))
+    return read.select(ROW, "doc_id", "_owner", "_repo", F.concat(*every).alias("_steps"))
+
+
+def span_rows(found: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
+    """Row id, start, kind, end and verdict of all spans, from the stored result of `with_steps`."""
+    found = found.filter(F.size("_steps") > 0).select(ROW, "_owner", "_repo", F.inline("_steps"))
+    so_far = Window.partitionBy(ROW, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    placed = found.withColumn("end", F.sum((F.col("before") + F.col("size")).cast("long")).over(so_far))
+    placed = placed.withColumn("start", F.col("end") - F.col("size"))
+    reported = F.col("used") & ((F.col("kind") < 3) | F.col("random"))
+    places = materialise(
+        placed.filter(reported).select(ROW, "_owner", "_repo", "kind", "start", "end", "hash", "random")
+    )
+    # Copies within one owner and repository are combined before anything is exchanged.
+    uses = places.filter("random").groupBy("hash", "_owner", "_repo").agg(F.lit(1).alias("_one"))
+    owners = uses.groupBy("hash", "_owner").agg(F.count(F.lit(1)).alias("_repos"))
+    shared = materialise(
+        owners.groupBy("hash").agg(
+            F.count(F.lit(1)).alias("owners"), F.sum("_repos").alias("repositories")
+        )
+    )
+    judged = places.join(shared, "hash", "left")
+    example = (F.col("owners") > max_owners) & (F.col("repositories") > max_repositories)
+    verdict = F.when(~F.col("random"), "weak").when(example, "example").otherwise("live")
+    judged = judged.select(ROW, "start", "kind", "end", verdict.alias("verdict"))
+    return _without_overlaps(judged.filter((F.col("kind") < 3) | (F.col("verdict") == "live")))
 
 
-def looks_random(value: Column) -> Column:
-    """Of several different characters, with letters and digits, as live credentials are."""
-    distinct = F.size(F.array_distinct(F.filter(F.split(value, ""), lambda c: c != "")))
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    return (distinct >= LEAST_DISTINCT) & mixed
+def _without_overlaps(spans: DataFrame) -> DataFrame:
+    """All base spans, and those of the method that touch none of them."""
+    base = F.col("kind") < 3
+    ordered = Window.partitionBy(ROW).orderBy("start", "kind")
+    turned = Window.partitionBy(ROW).orderBy(F.desc("start"), F.desc("kind"))
+    earlier = F.max(F.when(base, F.col("end"))).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    later = F.min(F.when(base, F.col("start"))).over(turned.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("_earlier", earlier).withColumn("_later", later)
+    touched = F.coalesce(F.col("_earlier") > F.col("start"), F.lit(False)) | F.coalesce(
+        F.col("_later") < F.col("end"), F.lit(False)
+    )
+    return marked.filter(base | ~touched).drop("_earlier", "_later")
 
 
 def scan(
@@ -112,53 +156,19 @@ def scan(
     owner = F.col("source") if owner is None else owner
     repository = F.col("doc_id") if repository is None else repository
     # Written once: row ids are fixed and texts left behind.
-    found = materialise(with_candidates(docs, owner, repository, row))
-    kinds = (("_assign", 0), ("_access", 1), ("_hex", 2), ("_tokens", 3))
-
-    def tagged(name: str, kind: int) -> Column:
-        return F.transform(
-            name,
-            lambda m: F.struct(
-                m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"),
-                F.md5(m["value"].cast("binary")).alias("hash"), looks_random(m["value"]).alias("random"),
-            ),
-        )
-
-    every = F.concat(*(tagged(name, kind) for name, kind in kinds))
-    places = found.select(ROW, "_owner", "_repo", F.inline(every))
-    places = materialise(places.filter((F.col("kind") < 3) | F.col("random")))
-    # Copies within one owner and repository are combined before anything is exchanged.
-    uses = places.filter("random").groupBy("hash", "_owner", "_repo").agg(F.lit(1).alias("_one"))
-    owners = uses.groupBy("hash", "_owner").agg(F.count(F.lit(1)).alias("_repos"))
-    shared = materialise(
-        owners.groupBy("hash").agg(
-            F.count(F.lit(1)).alias("owners"), F.sum("_repos").alias("repositories")
-        )
-    )
-    judged = places.join(shared, "hash", "left")
-    example = (F.col("owners") > max_owners) & (F.col("repositories") > max_repositories)
-    verdict = F.when(~F.col("random"), "weak").when(example, "example").otherwise("live")
-    judged = judged.select(ROW, "start", "kind", "end", verdict.alias("verdict"))
-    by_row = judged.filter((F.col("kind") < 3) | (F.col("verdict") == "live")).groupBy(ROW).agg(
-        F.array_sort(F.collect_list(F.struct("start", "kind", "end", "verdict"))).alias("_all")
-    )
-    result = found.select(
-        ROW, "doc_id", *(F.size(f"_{kind}").cast("long").alias(f"n_{kind}") for kind in KINDS)
-    ).join(by_row, ROW, "left")
-    return result.select(
-        ROW, "doc_id", *(f"n_{kind}" for kind in KINDS), _without_overlaps(F.col("_all")).alias("spans")
+    found = materialise(with_steps(docs, owner, repository, row))
+    by_row = span_rows(found, max_owners, max_repositories).groupBy(ROW).agg(
+        F.array_sort(F.collect_list(F.struct("start", "kind", "end", "verdict"))).alias("spans")
     )
 
+    def number(kind: int) -> Column:
+        return F.size(F.filter("_steps", lambda m: (m["kind"] == kind) & m["used"])).cast("long")
 
-def _without_overlaps(spans: Column) -> Column:
-    """All base spans, and those of the method that touch none of them."""
-    base = F.filter(spans, lambda s: s["kind"] < 3)
-    free = F.filter(
-        spans,
-        lambda s: (s["kind"] < 3)
-        | ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+    result = found.select(ROW, "doc_id", *(number(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)))
+    return result.join(by_row, ROW, "left").select(
+        ROW, "doc_id", *(f"n_{kind}" for kind in KINDS),
+        F.coalesce("spans", F.array().cast(SPANS)).alias("spans"),
     )
-    return F.coalesce(free, F.array().cast("array<struct<start:bigint,kind:int,end:bigint,verdict:string>>"))
 
 
 def joined(spans: Column) -> Column:
@@ -194,27 +204,67 @@ def redact(docs: DataFrame, mark: str = "[secret]", **options: object) -> DataFr
     """
     numbered = whole_rows(docs)
     read = numbered.select("_doc.doc_id", "_doc.text", "_doc.source", ROW)
-    spans = scan(read, row=F.col(ROW), **options).select(
-        ROW, F.filter("spans", lambda s: s["verdict"] != "example").alias("_spans")
+    new = materialise(_cut_out(read, _islands(_to_replace(read, **options)), mark))
+    text = F.coalesce("_new", "_doc.text")
+    return numbered.join(new, ROW, "left").select(*fields_of(numbered, {"text": text}))
+
+
+def _to_replace(docs: DataFrame, **options: object) -> DataFrame:
+    """Row id, start and end of live and weak spans."""
+    spans = scan(docs, row=F.col(ROW), **options).select(ROW, F.inline("spans"))
+    return spans.filter(F.col("verdict") != "example").select(ROW, "start", "end")
+
+
+def _islands(spans: DataFrame) -> DataFrame:
+    """Spans that overlap as one."""
+    ordered = Window.partitionBy(ROW).orderBy("start", "end")
+    before = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("start") >= F.col("_before"), F.lit(True))
+    number = F.sum(fresh.cast("int")).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    marked = spans.withColumn("_before", before).withColumn("_island", number)
+    return marked.groupBy(ROW, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+
+
+def _cut_out(docs: DataFrame, islands: DataFrame, mark: str) -> DataFrame:
+    """Row id and new text of the rows that have islands.
+
+    Texts are cut into blocks of BLOCK code points, each of which has its own part of the
+    islands, so that no place is looked for from the start of a long text.
+    """
+    first = F.floor(F.col("start") / BLOCK).cast("long")
+    last = F.floor((F.col("end") - 1) / BLOCK).cast("long")
+    cut = islands.select(ROW, "start", "end", F.explode(F.sequence(first, last)).alias("_block"))
+    low = F.col("_block") * BLOCK
+    parts = cut.groupBy(ROW, "_block").agg(
+        F.array_sort(
+            F.collect_list(
+                F.struct(
+                    (F.greatest("start", low) - low).cast("int").alias("from"),
+                    F.least(F.col("end") - low, F.lit(BLOCK)).cast("int").alias("to"),
+                    (F.col("start") >= low).alias("opens"),
+                )
+            )
+        ).alias("_parts")
     )
-    spans = materialise(spans.filter(F.size("_spans") > 0))
-    text = F.coalesce(F.col("_doc.text"), F.lit(""))
+    blocks = docs.join(islands.select(ROW).distinct(), ROW, "left_semi").select(
+        ROW, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))).alias("_at", "_said")
+    )
+    said = F.col("_said")
 
-    def step(state: Column, s: Column) -> Column:
-        # Spans are in order of their start; one that lies within an earlier one adds nothing.
-        plain = F.substring(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        piece = F.when(s["start"] >= state["at"], F.concat(plain, F.lit(mark))).otherwise("")
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], piece).alias("out")
-        )
+    def step(state: Column, part: Column) -> Column:
+        plain = F.substring(said, state["at"] + 1, part["from"] - state["at"])
+        shown = F.when(part["opens"], F.lit(mark)).otherwise("")
+        return F.struct(part["to"].alias("at"), F.concat(state["out"], plain, shown).alias("out"))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rest = F.aggregate(
-        "_spans", start, step,
-        lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))),
+        "_parts", start, step, lambda s: F.concat(s["out"], F.substring(said, s["at"] + 1, F.length(said)))
+    )
+    new = blocks.withColumn("_block", F.col("_at").cast("long")).join(parts, [ROW, "_block"], "left").select(
+        ROW, F.struct("_at", F.when(F.col("_parts").isNull(), said).otherwise(rest).alias("s")).alias("_piece")
     )
-    redacted = F.when(F.col("_spans").isNull(), F.col("_doc.text")).otherwise(rest)
-    return numbered.join(spans, ROW, "left").select(*fields_of(numbered, {"text": redacted}))
+    pieces = F.array_sort(F.collect_list("_piece"))
+    return new.groupBy(ROW).agg(F.array_join(F.transform(pieces, lambda p: p["s"]), "").alias("_new"))
 
 
 def _sql_matches(kind: str, pattern: str, group: int = 0) -> str:

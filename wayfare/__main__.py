@@ -1,4 +1,4 @@
-"""Command line: batch, manual-load, counts, quality, reports, stream and monitor.
+"""Command line: batch, manual-load, counts, quality, reports, stream, fold and monitor.
 
     spark-submit --py-files wayfare.zip wayfare/__main__.py batch --config job.json --hours 24
     python -m wayfare batch --config job.json --hours 24
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +29,7 @@ from wayfare import schemas
 from wayfare.plans import batch, checks, stream
 from wayfare.session import configure, keep_state_on_disk
 from wayfare.sources import readers
-from wayfare.streaming import sinks
+from wayfare.streaming import compaction
 
 
 def open_table(spark: SparkSession, spec: dict, schema: StructType) -> DataFrame:
@@ -59,13 +59,15 @@ def open_sources(spark: SparkSession, config: dict) -> batch.Sources:
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="wayfare")
     parser.add_argument("job", choices=[
-        "batch", "manual-load", "counts", "quality", "reports", "stream", "monitor",
+        "batch", "manual-load", "counts", "quality", "reports", "stream", "fold", "monitor",
     ])
     parser.add_argument("--config", required=True, help="JSON file described above")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="UTC; now by default")
     parser.add_argument("--hours", type=int, default=24, help="look-back of the batch job")
     parser.add_argument("--full", action="store_true", help="no look-back")
     parser.add_argument("--incremental", action="store_true", help="replace covered days only")
+    parser.add_argument("--gate", action="store_true", help="keep repeated payments out of gold")
+    parser.add_argument("--open-days", type=int, default=2, help="days of windows that fold leaves open")
     parser.add_argument("--late-tolerance", help='for example "10 minutes"; none by default')
     return parser.parse_args(given)
 
@@ -79,7 +81,7 @@ def main(given: list[str] | None = None) -> None:
     if args.job == "batch":
         hours = None if args.full else args.hours
         batch.run_batch(
-            spark, open_sources(spark, config), warehouse, as_of, hours, args.incremental
+            spark, open_sources(spark, config), warehouse, as_of, hours, args.incremental, gate=args.gate
         )
     elif args.job == "manual-load":
         batch.run_manual_load(spark, open_sources(spark, config), warehouse)
@@ -99,8 +101,11 @@ def main(given: list[str] | None = None) -> None:
         stream.run_stream(
             records, target["log"], target["checkpoint"], args.late_tolerance
         ).awaitTermination()
+    elif args.job == "fold":
+        before = as_of.date() - timedelta(days=args.open_days)
+        print(*compaction.fold_closed_days(spark, config["stream"]["log"], before))
     else:
-        log = sinks.read_window_log(spark, config["stream"]["log"])
+        log = compaction.compacted_log(spark, config["stream"]["log"])
         stream.run_monitor(log, warehouse.audit, started_at=as_of, as_of=as_of)
 
 

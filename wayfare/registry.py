@@ -7,7 +7,7 @@ all times without a zone. Load and processing times are clocks and are not compa
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -28,6 +28,7 @@ from wayfare.session import shared_dir
 from wayfare.sources import readers, targets
 from wayfare.sources.targets import ParquetTable
 from wayfare.streaming import sinks, windows
+from wayfare.streaming.compaction import compacted_log, fold_closed_days, live_zones, newest_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -790,12 +791,15 @@ class _Arrivals:
 
     def window_log(self, in_second: str, late_tolerance: str | None = None) -> DataFrame:
         for second_wave in (False, True):
-            self.land(second_wave, in_second)
-            run_stream(
-                self.stream(), self.log, self.checkpoint, late_tolerance, trigger_seconds=None
-            ).awaitTermination()
+            self.wave(second_wave, in_second, late_tolerance)
         return sinks.read_window_log(self.spark, self.log)
 
+    def wave(self, second_wave: bool, in_second: str, late_tolerance: str | None = None) -> None:
+        self.land(second_wave, in_second)
+        run_stream(
+            self.stream(), self.log, self.checkpoint, late_tolerance, trigger_seconds=None
+        ).awaitTermination()
+
 
 # Which events arrive in the second wave; all others arrive in the first.
 ODD = "event_id % 2 = 1"
@@ -849,26 +853,60 @@ def stream_new_checkpoint(fx: Fixture) -> DataFrame:
     return windows.newest_versions(sinks.read_window_log(fx.spark, arrivals.log)).drop("processed_at")
 
 
-@query(f"""
+_LIVE = f"""
 SELECT {_WINDOW} FROM zone_log
-QUALIFY ROW_NUMBER() OVER (PARTITION BY zone_id ORDER BY window_start DESC) = 1""")
+QUALIFY ROW_NUMBER() OVER (PARTITION BY zone_id ORDER BY window_start DESC) = 1"""
+
+
+@query(_LIVE)
 def live_zone_view(fx: Fixture) -> DataFrame:
     log = _Arrivals(fx).window_log(ODD)
     return reports.live_zone_view(windows.newest_versions(log)).drop("processed_at")
 
 
-@query(f"""
+_TOP10 = f"""
 SELECT {_WINDOW} FROM zone_log z
 WHERE EXISTS (SELECT 1 FROM trip_events e WHERE e.event_id % 2 = 1
   AND e.event_type = 'trip_completed'
   AND e.event_time >= z.window_start AND e.event_time < z.window_end
   AND e.zone_id IS NOT DISTINCT FROM z.zone_id)
-ORDER BY window_start DESC, zone_id NULLS LAST LIMIT 10""")
+ORDER BY window_start DESC, zone_id NULLS LAST LIMIT 10"""
+
+
+@query(_TOP10)
 def latest_windows_top10(fx: Fixture) -> DataFrame:
     log = _Arrivals(fx).window_log(ODD)
     return reports.latest_windows(log).drop("processed_at", "run", "batch_id")
 
 
+def _folded_log(fx: Fixture) -> str:
+    """The log of both waves; closed days are folded after the first one and after the second."""
+    arrivals = _Arrivals(fx)
+    last = fx.trip_events.agg(F.max("event_time")).first()[0].date()
+    arrivals.wave(False, ODD)
+    fold_closed_days(fx.spark, arrivals.log, last - timedelta(days=10))
+    arrivals.wave(True, ODD)
+    fold_closed_days(fx.spark, arrivals.log, last - timedelta(days=3))
+    return arrivals.log
+
+
+@query(f"SELECT {_WINDOW} FROM zone_log")
+def window_log_compacted(fx: Fixture) -> DataFrame:
+    """Closed days folded twice, with late rows for days folded before."""
+    log = compacted_log(fx.spark, _folded_log(fx))
+    return windows.newest_versions(log).drop("processed_at")
+
+
+@query(_LIVE)
+def live_zone_view_compacted(fx: Fixture) -> DataFrame:
+    return live_zones(fx.spark, _folded_log(fx)).drop("processed_at", "run", "batch_id")
+
+
+@query(_TOP10)
+def latest_windows_compacted(fx: Fixture) -> DataFrame:
+    return newest_rows(fx.spark, _folded_log(fx)).drop("processed_at", "run", "batch_id")
+
+
 _HEALTH = f"""
 SELECT COUNT(*) AS total_rows,
   COUNT(*) FILTER (WHERE window_end >= TIMESTAMP '{HEALTH_AS_OF}' - INTERVAL 30 MINUTE)

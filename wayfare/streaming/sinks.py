@@ -17,6 +17,8 @@ from wayfare.sources.targets import Table, append
 
 TRIGGER_SECONDS = 60
 ROWS_PER_FILE = 1_000_000
+# The day a window begins, by which the folders of a batch are divided.
+WINDOW_DATE = "window_date"
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
@@ -30,7 +32,8 @@ def batch_writer(sink: str | Table, checkpoint: str) -> Callable[[DataFrame, int
 
     Below a path each batch of each run owns one folder, and a retry overwrites it; runs never
     touch each other's. In a table a retry appends the batch again under its run and number;
-    `newest_versions` keeps one row of them. A batch is written in few files.
+    `newest_versions` keeps one row of them. A batch is written in few files, in a folder for each
+    day of its windows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -42,7 +45,9 @@ def batch_writer(sink: str | Table, checkpoint: str) -> Callable[[DataFrame, int
             run = run_of(batch.sparkSession, checkpoint)
             few = batch.coalesce(math.ceil(rows / ROWS_PER_FILE))
             if isinstance(sink, str):
-                few.write.mode("overwrite").parquet(f"{sink}/run={run}/batch_id={batch_id}")
+                dated = few.withColumn(WINDOW_DATE, F.to_date("window_start"))
+                writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "static")
+                writer.partitionBy(WINDOW_DATE).parquet(f"{sink}/run={run}/batch_id={batch_id}")
             else:
                 marks = {"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")}
                 append(few.withColumns(marks), sink)
@@ -76,7 +81,7 @@ def start_zone_stream(
 
 def read_window_log(spark: SparkSession, path: str) -> DataFrame:
     """All versions of all windows, with the batch that wrote them; none before the first."""
-    return read_if_present(spark, path, ZONE_WINDOW_LOG)
+    return read_if_present(spark, path, ZONE_WINDOW_LOG).select(*ZONE_WINDOW_LOG.names)
 
 
 def append_events(

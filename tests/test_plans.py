@@ -81,6 +81,18 @@ def test_fact_exchanges_each_wide_row_once(spark, stored):
     assert len(singles) == 1  # the running sum over bucket counts, never over rows
 
 
+def test_key_counts_of_a_join_are_exchanged_twice(spark, stored):
+    """The keys of both sides together, combined before; then the sums of the buckets."""
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        sides = [
+            df.select("trip_id").withColumn(numbering.BUCKET, numbering.bucket_of(F.col("trip_id")))
+            for df in (stored["trips"], stored["payments"])
+        ]
+        text = plan(numbering._join_counts(*sides, "trip_id"))
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+    assert text.count("partial_sum") >= 2
+
+
 def test_numbering_has_no_window_over_all_rows(spark):
     df = spark.range(1000)
     text = plan(numbering.surrogate_key(df, "id", "sk"))

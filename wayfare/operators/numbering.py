@@ -220,12 +220,12 @@ def numbered_left_join(
 def _join_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Per bucket: rows the left join yields, and the most rows any side of it has."""
 
-    def per_key(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(BUCKET, key).agg(F.count(F.lit(1)).alias(name))
+    def marked(df: DataFrame, own: str) -> DataFrame:
+        return df.select(BUCKET, key, *(F.lit(int(side == own)).alias(side) for side in ("_l", "_r")))
 
-    both = per_key(left, "_l").join(per_key(right, "_r"), [BUCKET, key], "full")
-    both = both.select(
-        BUCKET, *(F.coalesce(side, F.lit(0)).alias(side) for side in ("_l", "_r"))
+    # One exchange of the keys, combined before it, and one of the buckets' sums.
+    both = marked(left, "_l").unionByName(marked(right, "_r")).groupBy(BUCKET, key).agg(
+        F.sum("_l").alias("_l"), F.sum("_r").alias("_r")
     )
     rows = F.sum(F.col("_l") * F.greatest("_r", F.lit(1)))
     return both.groupBy(BUCKET).agg(

@@ -107,6 +107,74 @@ def disclosed(spark, rows):
     return words
 
 
+def plain_disclosure(texts, width=pii.CONTEXT_WORDS):
+    """term: ratio of all terms that met an entity in two contexts, counted one by one."""
+    near, holding, contexts = Counter(), Counter(), defaultdict(set)
+    together, beside, documents = defaultdict(set), Counter(), Counter()
+    for text in texts:
+        spans = plain_spans(text)
+        words = [(m[0].lower(), m.start(), m.end()) for m in pii._TERM.finditer(text)]
+        documents.update({word for word, _, _ in words})
+        words = [w for w in words if all(w[2] <= a or b <= w[1] for _, a, b in spans)]
+        met = defaultdict(set)
+        for kind, a, b in spans:
+            value = text[a:b]
+            name = (kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower())
+            before, after = [w for w in words if w[2] <= a], [w for w in words if w[1] >= b]
+            terms = frozenset(w[0] for w in before[-width:] + after[:width])
+            contexts[name].add(terms)
+            if name not in met:
+                holding[name] += 1
+            for term in terms:
+                together[name, term].add(terms)
+                if term not in met[name]:
+                    beside[name, term] += 1
+            met[name] |= terms
+
+    def share(different, having, all_documents):
+        once = min(different, having)
+        return once / (all_documents - having + once)
+
+    worst = {}
+    for (name, term), seen in together.items():
+        if len(seen) < 2:
+            continue
+        bits = -math.log2(share(len(contexts[name]), holding[name], len(texts)))
+        given = share(len(seen), beside[name, term], documents[term])
+        ratio = (math.log2(given) + bits) / bits if bits > 0 else 0.0
+        worst[term] = max(worst.get(term, -math.inf), ratio)
+    return worst
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_ratios_equal_a_plain_count_over_the_corpus(spark, scale):
+    docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet").select("text")
+    wanted = plain_disclosure([row.text or "" for row in docs.collect()])
+    wanted = {pii.term_hash(t): r for t, r in wanted.items() if r >= pii.GENERALISE}
+    found = {row.h: row for row in pii.disclosing_terms(docs).collect()}
+    assert found.keys() == wanted.keys()
+    for h, row in found.items():
+        assert row.ratio == pytest.approx(wanted[h])
+        assert row.action == ("remove" if wanted[h] >= pii.REMOVE else "generalise")
+
+
+def test_no_personal_value_is_stored(spark, monkeypatch):
+    stored = []
+
+    def keep(df):
+        stored.append(df)
+        return materialise(df)
+
+    monkeypatch.setattr(pii, "materialise", keep)
+    rows = [f"ask{k} Quillon at quill@corp.example.com or 10.1.2.3{k} now" for k in range(4)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    pii.find_spans(docs).collect()
+    assert len(stored) > 3
+    for df in stored:
+        said = str(df.collect()).lower()
+        assert "quill" not in said and "10.1.2" not in said
+
+
 def test_two_contexts_are_evidence(spark):
     rows = [f"filler{k} text{k} without{k} any{k}" for k in range(200)]
     rows += ["a Quillon b quill@corp.example.com c", "d e Quillon f quill@corp.example.com g"]

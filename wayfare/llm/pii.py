@@ -14,6 +14,7 @@ threshold they are removed, above the lower one replaced by their class.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -167,16 +168,23 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def context_rows(texts: DataFrame, width: int) -> DataFrame:
-    """(entity, context, terms, fresh) of every base span; `context` is a hash of entity and terms.
+def context_rows(texts: DataFrame, width: int, secret: bytes | None = None) -> DataFrame:
+    """(entity, context, terms, fresh) of every base span, all of them hashes.
 
-    `fresh` has the terms that met the entity in no earlier span of the document. It is null for
+    `entity` and `context` (the entity with its terms) are keyed by a secret of this run, so that
+    no personal value can be read or looked up in what is stored; terms are `term_hash`es. `fresh`
+    has the terms that met the entity in no earlier span of the document. It is null for
     the first span, where all are fresh.
     """
     schema = pa.schema(
-        [("entity", pa.string()), ("context", pa.binary())]
-        + [(name, pa.list_(pa.string())) for name in ("terms", "fresh")]
+        [("entity", pa.binary()), ("context", pa.binary())]
+        + [(name, pa.list_(pa.int64())) for name in ("terms", "fresh")]
     )
+    key = os.urandom(32) if secret is None else secret
+
+    def hidden(*said: str) -> bytes:
+        text = "\0".join(said).encode("utf-8", "surrogatepass")
+        return hashlib.blake2b(text, digest_size=16, key=key).digest()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,15 +192,14 @@ def context_rows(texts: DataFrame, width: int) -> DataFrame:
             for text in texts_in(batch):
                 met: dict[str, set[str]] = {}
                 for name, near in contexts(text, base_spans(text), width):
-                    key = hashlib.md5("\0".join([name, *near]).encode("utf-8", "surrogatepass"))
                     before = met.get(name)
-                    fresh = None if before is None else [t for t in near if t not in before]
+                    fresh = None if before is None else [term_hash(t) for t in near if t not in before]
                     met.setdefault(name, set()).update(near)
-                    rows.append((name, key.digest(), near, fresh))
+                    rows.append((hidden(name), hidden(name, *near), [term_hash(t) for t in near], fresh))
             yield _batch(rows, schema)
 
     return texts.mapInArrow(
-        find, "entity string, context binary, terms array<string>, fresh array<string>"
+        find, "entity binary, context binary, terms array<long>, fresh array<long>"
     )
 
 
@@ -261,24 +268,21 @@ def disclosing_terms(
     """
     near = context_rows(texts, width).groupBy("entity", "context", "fresh")
     near = materialise(near.agg(F.first("terms").alias("terms"), F.count(F.lit(1)).alias("n")))
-    is_fresh = F.col("fresh").isNull() | F.array_contains("fresh", F.col("term"))
-    met = near.select("entity", "context", "fresh", "n", F.explode("terms").alias("term"))
-    met = met.groupBy("entity", "term").agg(
+    is_fresh = F.col("fresh").isNull() | F.array_contains("fresh", F.col("h"))
+    met = near.select("entity", "context", "fresh", "n", F.explode("terms").alias("h"))
+    met = met.groupBy("entity", "h").agg(
         F.count_distinct("context").alias("together"),
         F.sum(F.when(is_fresh, F.col("n")).otherwise(0)).alias("beside"),
     )
     met = materialise(met.filter(F.col("together") >= witnesses))
-    # The filter has the terms of candidates only, each with its hash.
-    hashed = materialise(
-        met.mapInArrow(_hash_terms, "entity string, together long, beside long, h long")
-    )
-    documents = document_counts(texts, bit_filter(hashed.select("h").distinct()))
+    # The filter has the terms of candidates only.
+    documents = document_counts(texts, bit_filter(met.select("h").distinct()))
     entities = near.groupBy("entity").agg(
         F.count_distinct("context").alias("contexts"),
         F.sum(F.when(F.col("fresh").isNull(), F.col("n")).otherwise(0)).alias("holding"),
     )
     total = texts.count()
-    joined = hashed.join(entities, "entity").join(documents, "h")
+    joined = met.join(entities, "entity").join(documents, "h")
     p_entity = _share("contexts", F.col("holding"), F.lit(total))
     p_given = _share("together", F.col("beside"), F.col("documents"))
     bits = -F.log2(p_entity)
@@ -296,18 +300,6 @@ def _share(different: str, having: Column, documents: Column) -> Column:
     return once / (documents - having + once)
 
 
-def _hash_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes = [term_hash(term) for term in batch.column("term").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                *(batch.column(name) for name in ("entity", "together", "beside")),
-                pa.array(hashes, pa.int64()),
-            ],
-            ["entity", "together", "beside", "h"],
-        )
-
-
 # -- application -----------------------------------------------------------------------------
 
 FOUND = (

@@ -31,7 +31,7 @@ BITS = 64
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
-# A shard with more distinct fingerprints is cut again, at most so many times.
+# A shard with more distinct fingerprints is cut again, at most so many times, and then in blocks.
 SHARD_ROWS = 2000
 DEPTH = 3
 # Shingles whose bits are counted at once.
@@ -185,7 +185,8 @@ def shard_members(
     """(key, value, id): every pair within the radius has a key in common.
 
     Fingerprints of a shard agree in its band, so they differ only in the other bits. Too
-    large a shard is cut by bands of those. Only sizes of shards are counted for that.
+    large a shard is cut by bands of those. Only sizes of shards are counted for that. What is
+    too large after `depth` cuts is looked at in pairs of blocks.
     """
     rest = [(list(range(BITS)), values.withColumn("key", F.lit("")))]
     done: list[DataFrame] = []
@@ -197,15 +198,15 @@ def shard_members(
                 F.inline(band_keys(F.col("value"), F.col("key"), cut)), "value", "id"
             )
             sizes = exploded.groupBy("key").count().filter(F.col("count") > shard_rows)
-            large = None
-            if level + 1 < depth:
-                large = materialise(sizes.select("key"))
-                large = None if large.isEmpty() else large
-            if large is None:
+            large = materialise(sizes)
+            if large.isEmpty():
                 done.append(exploded.select("key", "value", "id"))
                 continue
             done.append(exploded.join(large, "key", "left_anti").select("key", "value", "id"))
-            cut_again = materialise(exploded.join(large, "key", "left_semi"))
+            if level + 1 == depth:
+                done.append(_in_blocks(exploded.join(large, "key"), shard_rows))
+                continue
+            cut_again = materialise(exploded.join(large.select("key"), "key", "left_semi"))
             for k, own in enumerate(cut):
                 others = [p for p in positions if p not in own]
                 part = cut_again.filter(F.col("band") == k).select("key", "value", "id")
@@ -220,6 +221,21 @@ def shard_members(
     return members
 
 
+def _in_blocks(rows: DataFrame, shard_rows: int) -> DataFrame:
+    """(key, value, id) of shards that no band cuts any more, in a shard for each pair of blocks.
+
+    Blocks are dealt by hash, so a pair of them has about `shard_rows` rows; every two rows of a
+    shard are together in one pair at least.
+    """
+    blocks = F.greatest(F.ceil(2 * F.col("count") / shard_rows), F.lit(2)).cast("int")
+    own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
+    dealt = rows.select("key", "value", "id", blocks.alias("_blocks")).withColumn("_own", own)
+    paired = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    low, high = (f("_own", "_other").cast("string") for f in (F.least, F.greatest))
+    pair = F.concat_ws("/", F.col("key"), F.concat_ws("-", low, high))
+    return paired.filter("_own <> _other").select(pair.alias("key"), "value", "id")
+
+
 def links(members: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): each id with the root of its group in a shard, a > b."""
 

@@ -276,6 +276,26 @@ def test_large_shards_are_cut_again(spark):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_shards_that_no_band_cuts_are_searched_in_blocks(spark):
+    """10,000 fingerprints that agree in 37 bits; no task gets more than a bounded shard."""
+    source = np.random.default_rng(12)
+    values = np.unique(source.integers(0, 1 << 27, 10_000, dtype=np.uint64) | np.uint64(0x5A5A5A5A5 << 27))
+    frame = spark.createDataFrame([(int(v), int(v)) for v in values], "value long, id long")
+    members = simhash.shard_members(frame, shard_rows=1000)
+    sizes = members.groupBy("key").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 1.3 * 1000
+    roots = dict(connected_components(simhash.links(members)).collect())
+    found = [roots.get(int(v), int(v)) for v in values]
+    group = np.arange(len(values))
+    near = [np.flatnonzero(np.bitwise_count(values ^ v) <= 3) for v in values]
+    for _ in range(100):
+        after = np.array([group[n].min() for n in near])
+        if (after == group).all():
+            break
+        group = after
+    assert found == [int(values[g]) for g in group]
+
+
 def test_bk_tree_finds_all_within_the_radius():
     source = random.Random(11)
     values = [source.getrandbits(10) for _ in range(200)]
@@ -453,6 +473,24 @@ def test_files_of_odd_rows(spark, odd, nothing, tokenizer):
     assert elias_fano.write_and_read(spark, nothing).count() == 0
 
 
+def test_starts_are_summed_without_the_driver(spark, monkeypatch):
+    rows = [(shard, f"p{shard}", 1, 10 + shard % 7) for shard in range(0, 3000, 3)]
+    manifest = spark.createDataFrame(rows, elias_fano.MANIFEST).repartition(5)
+    expected, total = {}, 0
+    for shard, _, _, tokens in rows:
+        expected[shard] = total
+        total += tokens
+    for window in (1 << 16, 10):
+        monkeypatch.setattr(elias_fano, "ONE_WINDOW", window)
+        monkeypatch.setattr(elias_fano, "LEVELS", (5,))
+        found = elias_fano.with_starts(manifest)
+        tasks = found.select("shard", "start", F.spark_partition_id().alias("p")).collect()
+        assert {r.shard: r.start for r in tasks} == expected
+        assert all(r.p == r.shard for r in tasks)
+    assert "collect" not in elias_fano.with_starts.__code__.co_names
+    assert elias_fano.with_starts(manifest.filter("false")).isEmpty()
+
+
 def test_random_access_in_a_shard(spark, tokenizer):
     docs = spark.createDataFrame([(k * 3 - 50, f"text number {k} " * (k % 7)) for k in range(700)], "doc_id long, text string")
     path, = (row.path for row in elias_fano.write_shards(docs, shared_dir(spark), shards=1).collect())

@@ -23,12 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import bounded_batches, text_of, texts_in
+from wayfare.llm.common import bounded_batches, file_place, text_of, texts_in
 from wayfare.llm.tokens import default_path, library_coder
+from wayfare.operators.joins import BUCKET
+from wayfare.operators.numbering import bucket_starts
 from wayfare.session import materialise, planned_bytes, shared_dir
 
 MAGIC = b"WFIDS001"
@@ -37,6 +38,9 @@ FOOTER = struct.Struct("<qqqqq6q")
 DIRECTORY_STEP = 512
 # Input bytes per shard.
 SHARD_BYTES = 64 << 20
+# Up to so many shards their counts are summed in one window, beyond that by levels of bits.
+ONE_WINDOW = 1 << 16
+LEVELS = (14,)
 # Documents whose ids a reader holds at once.
 READ_DOCS = 512
 
@@ -117,10 +121,6 @@ class EliasFano:
 # -- shard files -----------------------------------------------------------------------------
 
 
-def _place(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 def _index(ends: list[int], doc_ids: list[int], without: int, width: int) -> bytes:
     """Index and footer of a shard; documents without an id stand first."""
     lowest = doc_ids[0] if doc_ids else 0
@@ -135,7 +135,7 @@ class Shard:
     """Reads one shard file by document number."""
 
     def __init__(self, uri: str):
-        files, path = _place(uri)
+        files, path = file_place(uri)
         self._file = files.open_input_file(path)
         tail = FOOTER.size + len(MAGIC)
         size = self._file.size()
@@ -206,7 +206,7 @@ def write_shards(
             if stream is None:
                 shard = batch.column("_shard")[0].as_py()
                 uri = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.ids"
-                files, place = _place(uri)
+                files, place = file_place(uri)
                 files.create_dir(place.rpartition("/")[0], recursive=True)
                 stream = files.open_output_stream(place)
                 width = 2 if coder.largest_id < 1 << 16 else 4
@@ -241,18 +241,16 @@ def write_shards(
 
 
 def with_starts(manifest: DataFrame) -> DataFrame:
-    """The manifest with the number of ids in all earlier shards.
+    """The manifest with the number of ids in all earlier shards, a task for each shard.
 
-    It has a row per shard of tens of megabytes, so it fits the driver at any corpus size.
+    The sums are windows over the counts of shards, taken level by level if they are many.
     """
-    rows = sorted(manifest.collect(), key=lambda row: row["shard"])
-    before, found = 0, []
-    for row in rows:
-        found.append((row["shard"], row["path"], row["n_docs"], row["n_tokens"], before))
-        before += row["n_tokens"]
-    schema = f"{MANIFEST}, start long"
-    spark = manifest.sparkSession
-    return spark.createDataFrame(found, schema).repartition(max(1, len(found)), "shard")
+    counts = manifest.select(F.col("shard").cast("long").alias(BUCKET), F.col("n_tokens").alias("_rows"))
+    last, number = manifest.agg(F.max("shard"), F.count(F.lit(1))).first()
+    starts = bucket_starts(counts, () if number <= ONE_WINDOW else LEVELS)
+    found = manifest.join(starts, manifest["shard"] == starts[BUCKET]).drop(BUCKET)
+    dealt = found.withColumnRenamed("_start", "start").repartitionById((last or 0) + 1, F.col("shard"))
+    return dealt.select(*manifest.columns, "start")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from wayfare.fixtures import fixture
 from wayfare.functions import moment
 from wayfare.operators import extract, marts, staging
 from wayfare.plans import checks
-from wayfare.plans.batch import Sources, Warehouse, run_batch, warehouse_counts
+from wayfare.plans.batch import Sources, Warehouse, run_batch, run_manual_load, warehouse_counts
 from wayfare.session import shared_dir
 from wayfare.sources import targets
 from wayfare.sources.targets import ParquetTable
@@ -172,6 +172,21 @@ def test_a_run_leaves_two_versions_at_most(spark, sources):
         assert len(list((Path(table.path.removeprefix("file:")) / "data").iterdir())) == 2
 
 
+def test_a_run_leaves_nothing_in_the_shared_folder(spark, sources, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    warehouse = Warehouse.at(str(tmp_path / "lake"))
+    for gate in (False, True):
+        run_batch(spark, sources, warehouse, AS_OF, lookback_hours=None, gate=gate)
+    run_manual_load(spark, sources, warehouse)
+    broken = Sources(sources.trips.drop("base_fare"), sources.drivers, sources.zones, sources.payments)
+    with pytest.raises(Exception):
+        run_batch(spark, broken, warehouse, AS_OF, lookback_hours=None)
+    assert set(shared.iterdir()) == before
+    assert warehouse.fct_trips.read(spark).count() > 0
+    assert spark.table("mart_stg_payments").count() > 0
+
+
 def test_a_failed_run_is_logged(spark, sources):
     warehouse = Warehouse.at(shared_dir(spark))
     broken = Sources(sources.trips.drop("base_fare"), sources.drivers, sources.zones, sources.payments)

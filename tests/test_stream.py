@@ -11,6 +11,7 @@ from wayfare.plans.stream import run_monitor, run_stream
 from wayfare.session import keep_state_on_disk, shared_dir
 from wayfare.sources import readers
 from wayfare.sources.targets import ParquetTable
+from wayfare.sources.versions import VersionedTable
 from wayfare.streaming import sinks, windows
 
 GOOD = (
@@ -165,6 +166,43 @@ def test_a_batch_repeated_into_a_table_counts_once(spark):
     assert [row.trip_count for row in newest] == [1]
 
 
+def test_a_batch_repeated_into_a_versioned_table_is_there_once(spark):
+    log = VersionedTable(shared_dir(spark), schemas.ZONE_WINDOW_LOG)
+    batch = windows.zone_windows(
+        windows.parse_events(records(spark, [GOOD % (1, "10", "00:01:00")]))
+    )
+    write = sinks.batch_writer(log, checkpoint_of(spark, "one"))
+    for number in (3, 3, 4, 3):
+        write(batch, number)
+    other = sinks.batch_writer(log, checkpoint_of(spark, "two"))
+    other(batch, 0)
+    other(batch, 0)
+    found = sorted((row.run, row.batch_id) for row in log.read(spark).collect())
+    assert found == [("one", 3), ("one", 4), ("two", 0)]
+
+
+def test_a_backlog_is_worked_off_in_bounded_batches(spark):
+    stream = Stream(spark)
+    for n in range(6):
+        line = records(spark, [GOOD % (n, "1", f"{n:02d}:01:00")])
+        line.coalesce(1).write.mode("append").parquet(stream.landing)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        query = run_stream(
+            readers.stream_landing(spark, stream.landing, files_per_trigger=2), stream.log, stream.checkpoint,
+            trigger_seconds=None, state_partitions=3,
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert sizes == [2, 2, 2]
+    assert query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
+    # A later start has the partitions of the checkpoint.
+    stream.arrive(GOOD % (9, "1", "00:02:00"))
+    assert stream.counts()["00:00"] == 2
+
+
 def test_fixture_stream_rewrites_windows(spark):
     fx = fixture(spark, "/root/testdata/sf0.01")
     log = registry._Arrivals(fx).window_log(registry.ODD)

@@ -13,6 +13,10 @@ The configuration names the sources and where the results go:
      "users":    {"format": "jdbc", …} (only for quality; may be left out),
      "stream":   {"servers": "broker:9092", "topic": "trip_events",
                   "log": "s3a://lake/windows", "checkpoint": "s3a://lake/checkpoints/windows"}}
+
+A database source may have "cuts": [v1, v2, …] beside its partition column, for keys too uneven for
+equal ranges. The stream takes --starting, --records-per-trigger and --state-partitions, which
+hold for a new checkpoint (the first and the last) or for each micro-batch.
 """
 
 from __future__ import annotations
@@ -34,6 +38,11 @@ from wayfare.streaming import compaction
 
 def open_table(spark: SparkSession, spec: dict, schema: StructType) -> DataFrame:
     """A relational source from a database, or from Parquet files."""
+    if spec["format"] == "jdbc" and "cuts" in spec:
+        return readers.read_relational_slices(
+            spark, spec["url"], spec["table"], schema,
+            readers.slices(spec["partition_column"], spec["cuts"]), spec.get("properties"),
+        )
     if spec["format"] == "jdbc":
         return readers.read_relational(
             spark, spec["url"], spec["table"], schema, spec.get("partition_column"),
@@ -68,6 +77,9 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--incremental", action="store_true", help="replace covered days only")
     parser.add_argument("--gate", action="store_true", help="keep repeated payments out of gold")
     parser.add_argument("--open-days", type=int, default=2, help="days of windows that fold leaves open")
+    parser.add_argument("--starting", default="latest", help="where a new stream begins")
+    parser.add_argument("--records-per-trigger", type=int, help="most records of a micro-batch")
+    parser.add_argument("--state-partitions", type=int, help="state partitions of a new stream")
     parser.add_argument("--late-tolerance", help='for example "10 minutes"; none by default')
     return parser.parse_args(given)
 
@@ -97,9 +109,12 @@ def main(given: list[str] | None = None) -> None:
     elif args.job == "stream":
         keep_state_on_disk(spark)
         target = config["stream"]
-        records = readers.stream_broker(spark, target["servers"], target["topic"])
+        records = readers.stream_broker(
+            spark, target["servers"], target["topic"], args.starting, args.records_per_trigger
+        )
         stream.run_stream(
-            records, target["log"], target["checkpoint"], args.late_tolerance
+            records, target["log"], target["checkpoint"], args.late_tolerance,
+            state_partitions=args.state_partitions,
         ).awaitTermination()
     elif args.job == "fold":
         before = as_of.date() - timedelta(days=args.open_days)

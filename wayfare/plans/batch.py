@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from wayfare import schemas
 from wayfare.operators import extract, health, marts, quality, reports, staging
-from wayfare.session import broadcast_if_small, configure, planned_bytes
+from wayfare.session import broadcast_if_small, configure, planned_bytes, scratch_scope
 from wayfare.sources import targets
 from wayfare.sources.targets import DatabaseTable, ParquetTable, Table
 from wayfare.sources.versions import VersionedTable
@@ -98,7 +98,8 @@ def run_batch(
     """
     run_id = uuid.uuid4().hex
     try:
-        loaded, held = _run(spark, sources, warehouse, as_of, lookback_hours, incremental, gate)
+        with scratch_scope(spark):
+            loaded, held = _run(spark, sources, warehouse, as_of, lookback_hours, incremental, gate)
     except Exception:
         _log(spark, warehouse.audit, run_id, name, as_of, None, "failed")
         raise
@@ -175,11 +176,12 @@ def _run(
     clean_trips = staging.clean_trips(warehouse.stg_trips.read(spark))
     clean_drivers = staging.clean_drivers(warehouse.stg_drivers.read(spark))
     payments, held = warehouse.stg_payments.read(spark), 0
+    clean_payments = staging.clean_payments(payments)
+    staging.register_views(clean_trips, clean_drivers, clean_payments)
     if gate:
         payments, rejected = quality.first_of_each(payments, "trip_id", ("created_at", "transaction_ref"))
         held = targets.full_refresh(rejected, warehouse.quarantine)
-    clean_payments = staging.clean_payments(payments)
-    staging.register_views(clean_trips, clean_drivers, clean_payments)
+        clean_payments = staging.clean_payments(payments)
 
     first_key = 1
     if incremental and since is not None:
@@ -206,7 +208,8 @@ def run_manual_load(spark: SparkSession, sources: Sources, warehouse: Warehouse)
     if isinstance(warehouse.stg_trips, DatabaseTable):
         loaded = targets.append(trips, warehouse.stg_trips)
     else:
-        loaded = targets.append_ordered(trips, "trip_id", warehouse.stg_trips)
+        with scratch_scope(spark):
+            loaded = targets.append_ordered(trips, "trip_id", warehouse.stg_trips)
     return loaded + targets.append(drivers, warehouse.stg_drivers)
 
 

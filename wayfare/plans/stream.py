@@ -24,9 +24,16 @@ def run_stream(
     checkpoint: str,
     late_tolerance: str | None = None,
     trigger_seconds: int | None = sinks.TRIGGER_SECONDS,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Aggregate a stream of broker records into the window log, a folder or a table."""
-    configure(records.sparkSession)
+    """Aggregate a stream of broker records into the window log, a folder or a table.
+
+    A checkpoint keeps the number of state partitions it was begun with; `state_partitions`
+    is that of a new one, otherwise it has the session's number of shuffle partitions.
+    """
+    spark = configure(records.sparkSession)
+    if state_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     aggregated = windows.zone_windows(
         windows.parse_events(records), late_tolerance=late_tolerance
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -33,6 +35,8 @@ _SETTINGS = {
 }
 
 _scratch_roots: dict[str, str] = {}
+# Folders that scratch scopes will delete, innermost last.
+_scopes: list[list[str]] = []
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
@@ -96,7 +100,25 @@ def shared_dir(spark: SparkSession) -> str:
         if app not in _scratch_roots:
             _scratch_roots[app] = tempfile.mkdtemp(prefix="wayfare-")
         root = _scratch_roots[app]
-    return f"{root.rstrip('/')}/wayfare-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/wayfare-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(folder)
+    return folder
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate results of a job when it ends, whether it fails or not.
+
+    What the job returns must be stored elsewhere by then: frames that read scratch do not
+    outlive the scope.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in _scopes.pop():
+            delete_folder(spark, folder)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wayfare.schemas import BROKER_RECORD, PAYMENT_COLUMNS, PAYMENT_DOCUMENTS, conform
@@ -55,6 +56,26 @@ def read_relational(
     return conform(scan, schema)
 
 
+def key_cuts(sample: DataFrame, column: str, slices: int) -> list[int]:
+    """Values of an integer key that cut it into slices of about equal numbers of rows.
+
+    `sample` may be any sample of the keys, or the quantiles that the database's catalogue has.
+    Keys that repeat may give fewer cuts.
+    """
+    shares = [k / slices for k in range(1, slices)]
+    found = sample.agg(F.percentile_approx(column, shares, 10_000).alias("cuts")).first()["cuts"]
+    return sorted(set(found or []))
+
+
+def slices(column: str, cuts: Sequence[int]) -> list[str]:
+    """Predicates for the rows between cuts: every row meets one of them, rows without a key the first."""
+    ordered = sorted(set(cuts))
+    if not ordered:
+        return ["1 = 1"]
+    between = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(ordered, ordered[1:])]
+    return [f"({column} < {ordered[0]} OR {column} IS NULL)", *between, f"{column} >= {ordered[-1]}"]
+
+
 def read_relational_slices(
     spark: SparkSession,
     url: str,
@@ -94,21 +115,35 @@ def read_documents(
     return (reader.load(path) if path else reader.load()).select(*columns)
 
 
-def broker_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
-    """Options of a broker subscription that goes on when old records have expired."""
-    return {
+def broker_options(
+    servers: str, topic: str, starting: str = "latest", records_per_trigger: int | None = None
+) -> dict[str, str]:
+    """Options of a broker subscription that goes on when old records have expired.
+
+    `starting` is where a new checkpoint begins; a backlog is worked off in micro-batches of
+    `records_per_trigger` at most.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": "false",
     }
+    if records_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(records_per_trigger)
+    return options
 
 
 def stream_broker(
-    spark: SparkSession, servers: str, topic: str, starting: str = "latest", **more: str
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting: str = "latest",
+    records_per_trigger: int | None = None,
+    **more: str,
 ) -> DataFrame:
     """Subscribe to one topic. Needs the broker connector on the class path."""
-    options = {**broker_options(servers, topic, starting), **more}
+    options = {**broker_options(servers, topic, starting, records_per_trigger), **more}
     return spark.readStream.format("kafka").options(**options).load()
 
 

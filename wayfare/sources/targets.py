@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,20 +41,85 @@ class ParquetTable:
         return _counted(df, write)
 
 
+class Transaction:
+    """Statements on one connection of the driver, all of which count or none."""
+
+    def __init__(self, spark: SparkSession, url: str, properties: Mapping[str, str]):
+        settings = spark._jvm.java.util.Properties()
+        for name, value in properties.items():
+            settings.setProperty(name, value)
+        self._connection = spark._jvm.java.sql.DriverManager.getConnection(url, settings)
+        self._connection.setAutoCommit(False)
+
+    def _prepared(self, sql: str, values: Sequence[object]) -> JavaObject:
+        statement = self._connection.prepareStatement(sql)
+        for place, value in enumerate(values, 1):
+            statement.setObject(place, value)
+        return statement
+
+    def run(self, sql: str, *values: object) -> int:
+        return self._prepared(sql, values).executeUpdate()
+
+    def number(self, sql: str, *values: object) -> int:
+        """The first column of the first row."""
+        found = self._prepared(sql, values).executeQuery()
+        found.next()
+        return found.getLong(1)
+
+    def __enter__(self) -> Transaction:
+        return self
+
+    def __exit__(self, kind: type | None, *_: object) -> None:
+        try:
+            self._connection.commit() if kind is None else self._connection.rollback()
+        finally:
+            self._connection.close()
+
+
 @dataclass(frozen=True)
 class DatabaseTable:
-    """A table in a database. `connections` bounds the writers that load it at once."""
+    """A table in a database. `connections` bounds the writers that load it at once.
+
+    `slices` are predicates that cover every row once, each read by a connection of its own (see
+    `readers.slices`). `ledger` is a table (run, batch_id, row_count) with the first two as its
+    key; it says which micro-batches the table holds.
+    """
 
     url: str
     table: str
     schema: StructType
     connections: int = 16
     properties: Mapping[str, str] = field(default_factory=dict)
+    slices: tuple[str, ...] = ()
+    ledger: str = "wayfare_batches"
 
     def read(self, spark: SparkSession) -> DataFrame:
-        scan = spark.read.jdbc(self.url, self.table, properties=dict(self.properties))
+        sliced = {"predicates": list(self.slices)} if self.slices else {}
+        scan = spark.read.jdbc(self.url, self.table, properties=dict(self.properties), **sliced)
         return conform(scan, self.schema)
 
+    def transaction(self, spark: SparkSession) -> Transaction:
+        return Transaction(spark, self.url, self.properties)
+
+    def append_once(self, df: DataFrame, run: str, batch_id: int) -> int:
+        """Add a micro-batch, unless the ledger has it. Returns the rows added.
+
+        Writers fill a table beside this one, which a repeat fills anew. One transaction then
+        moves its rows and notes the batch, so a failure at any point leaves all of it or nothing.
+        """
+        spark = df.sparkSession
+        with self.transaction(spark) as db:
+            known = f"SELECT COUNT(*) FROM {self.ledger} WHERE run = ? AND batch_id = ?"
+            if db.number(known, run, batch_id):
+                return 0
+        staged = replace(self, table=f"{self.table}_incoming")
+        rows = staged.save(df.select(*self.schema.names), "overwrite")
+        columns = ", ".join(self.schema.names)
+        with self.transaction(spark) as db:
+            db.run(f"INSERT INTO {self.ledger} (run, batch_id, row_count) VALUES (?, ?, ?)", run, batch_id, rows)
+            db.run(f"INSERT INTO {self.table} ({columns}) SELECT {columns} FROM {staged.table}")
+        return rows
+
     def save(self, df: DataFrame, mode: str) -> int:
         return _counted(df, lambda rows: self._writer(rows, mode).save())
 
@@ -109,6 +175,14 @@ def append(df: DataFrame, table: Table) -> int:
     return table.save(df, "append")
 
 
+def append_once(df: DataFrame, table: Table, run: str, batch_id: int) -> int:
+    """Add a micro-batch of a run. Returns the rows added, 0 for one that is there already.
+
+    Plain Parquet files keep no ledger: there a repeat adds the rows again, under the same number.
+    """
+    return append(df, table) if isinstance(table, ParquetTable) else table.append_once(df, run, batch_id)
+
+
 def publish_together(
     spark: SparkSession, loads: Sequence[tuple[DataFrame, Table, date | None]]
 ) -> None:

@@ -267,6 +267,8 @@ class VersionedTable:
                 raise ValueError("only a table with a column of days can be replaced in part")
             old = [s | {"to": min(s["to"] or start, start)} for s in old if (s["from"] or "") < start]
         content = {"segments": [*old, {VERSION: version, "from": start, "to": None, "rows": found["rows"]}]}
+        if "ledger" in before.content:
+            content["ledger"] = before.content["ledger"]
         if self.key:
             earlier = before.content.get("last_key", 0) if old else 0
             content["last_key"] = max(found["last_key"] or 0, earlier)
@@ -280,5 +282,18 @@ class VersionedTable:
         """Write and publish; returns the rows written."""
         return self.write(df, append=mode == "append").commit(df.sparkSession)
 
+    def append_once(self, df: DataFrame, run: str, batch_id: int) -> int:
+        """Add a micro-batch, unless a commit notes it or a later one; returns the rows added.
+
+        The batch is noted by the commit that adds its rows. Batches of a run follow each other.
+        """
+        spark = df.sparkSession
+        ledger = self.store.current(spark).content.get("ledger", {})
+        if ledger.get(run, -1) >= batch_id:
+            return 0
+        pending = self.write(df, append=True)
+        pending.content["ledger"] = {**pending.content.get("ledger", {}), run: batch_id}
+        return pending.commit(spark)
+
     def clean(self, spark: SparkSession, keep: int = KEPT_COMMITS) -> list[str]:
         return self.store.clean(spark, lambda content: {s[VERSION] for s in content["segments"]}, keep)

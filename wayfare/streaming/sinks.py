@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.schemas import ZONE_WINDOW_LOG
 from wayfare.session import read_if_present
-from wayfare.sources.targets import Table, append
+from wayfare.sources.targets import Table, append_once
 
 TRIGGER_SECONDS = 60
 ROWS_PER_FILE = 1_000_000
@@ -31,8 +31,9 @@ def batch_writer(sink: str | Table, checkpoint: str) -> Callable[[DataFrame, int
     """A micro-batch writer that skips empty batches and may be repeated.
 
     Below a path each batch of each run owns one folder, and a retry overwrites it; runs never
-    touch each other's. In a table a retry appends the batch again under its run and number;
-    `newest_versions` keeps one row of them. A batch is written in few files, in a folder for each
+    touch each other's. A database or versioned table notes the batches it holds, so a retry adds
+    nothing; in plain files it appends the batch again under its run and number, of which
+    `newest_versions` keeps one row. A batch is written in few files, in a folder for each
     day of its windows.
     """
 
@@ -50,7 +51,7 @@ def batch_writer(sink: str | Table, checkpoint: str) -> Callable[[DataFrame, int
                 writer.partitionBy(WINDOW_DATE).parquet(f"{sink}/run={run}/batch_id={batch_id}")
             else:
                 marks = {"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")}
-                append(few.withColumns(marks), sink)
+                append_once(few.withColumns(marks), sink, run, batch_id)
         finally:
             batch.unpersist()
 

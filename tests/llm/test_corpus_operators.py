@@ -252,16 +252,50 @@ def test_large_components_are_exact_and_empty_tables_empty(spark):
     assert vafile.top_k(frame.filter("vec_id < 0"), F.col("vec_id") == 0).count() == 0
 
 
-def test_bounds_hold_and_few_vectors_are_read():
-    numbers = np.random.default_rng(0).normal(0, 100, (500, 16)).astype(np.int64)
-    low, span = numbers.min(0), numbers.max(0) - numbers.min(0)
-    width = np.maximum(1, -(-(span + 1) // 256))
-    row = {"dim": 16, "ids": np.arange(500).tobytes(), "vectors": numbers.tobytes(), "lows": low.tobytes(),
+@pytest.mark.parametrize("size", [100, 2**40, 2**60])
+def test_bounds_hold_at_any_size(size):
+    numbers = np.random.default_rng(0).normal(0, size, (500, 16)).astype(np.int64)
+    low = numbers.min(0)
+    span = numbers.max(0).astype(object) - low
+    width = np.array([max(1, -(-(int(s) + 1) // 256)) for s in span], np.int64)
+    row = {"dim": 16, "ids": np.arange(500).tobytes(), "places": np.arange(500).tobytes(), "lows": low.tobytes(),
            "widths": width.tobytes(), "cells": ((numbers - low) // width).astype(np.uint8).tobytes()}
     block = vafile.Block(row)
-    scores = numbers[:20] @ numbers.T
-    bounds = block.bounds(numbers[:20])
-    assert (bounds >= scores).all() and (bounds - scores).max() < 0.1 * np.abs(scores).max()
+    lower, upper = block.bounds(numbers[:20], slice(0, 500))
+    exact = [[sum(a * b for a, b in zip(q, v)) for v in numbers.tolist()] for q in numbers[:20].tolist()]
+    largest = max(abs(x) for row in exact for x in row)
+    for own, low_row, high_row in zip(exact, lower.tolist(), upper.tolist()):
+        assert all(a <= x <= b for x, a, b in zip(own, low_row, high_row))
+        assert max(b - a for a, b in zip(low_row, high_row)) < 0.15 * largest
+
+
+def test_few_exact_vectors_are_read_over_all_blocks(spark, monkeypatch):
+    read = []
+    reaching = vafile._reaching
+
+    def counted(pairs):
+        found = materialise(reaching(pairs))
+        read.append(found.count())
+        return found
+
+    monkeypatch.setattr(vafile, "_reaching", counted)
+    rows = np.random.default_rng(5).normal(0, 1, (4000, 16)).tolist()
+    frame = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>").repartition(6)
+    found = vafile.top_k(frame, F.col("vec_id") % 50 == 0, block_rows=300)
+    assert found.count() == 80 * 5
+    # 80 queries x 4,000 rows; a bound per block alone would read over 80 x 14 x 5.
+    assert read[0] < 80 * 20
+
+
+def test_equal_vectors_stay_few_rows(spark):
+    rows = [(4, [1.0, 2.0])] * 40 + [(n, [1.0, 2.0]) for n in range(1000, 1300)] + [(50, [1.0, 2.0]), (7, [0.5, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = defaultdict(list)
+    for r in vafile.top_k(frame, F.col("vec_id").isin(4, 50)).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    same = 256 * 256 + 512 * 512
+    assert found[4] == [(50, same), *((n, same) for n in range(1000, 1004))]
+    assert found[50] == [(4, same)] * 5
 
 
 # -- secrets ---------------------------------------------------------------------------------

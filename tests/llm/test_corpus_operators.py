@@ -451,6 +451,97 @@ def test_em_recovers_accuracies_and_posteriors():
     assert errors < 0.05 * len(truth)
 
 
+def plain_em(documents, rounds=100):
+    """Expectation-maximisation document by document; returns prior and likelihoods as dicts."""
+    labellers = range(len(documents[0]))
+    prior = 0.15
+    likely = {(j, v, c): p for j in labellers for v, both in (("b", (0.02, 0.3)), ("g", (0.3, 0.02)), ("-", (0.68, 0.68)))
+              for c, p in enumerate(both)}
+    known = any(d[-1] != "-" for d in documents)
+
+    def posterior(votes):
+        if votes[-1] != "-":
+            return 0.995 if votes[-1] == "b" else 1 - 0.995
+        good, bad = math.log(1 - prior), math.log(prior)
+        for j, v in enumerate(votes[:-1]):
+            good, bad = good + math.log(likely[j, v, 0]), bad + math.log(likely[j, v, 1])
+        return 1 / (1 + math.exp(good - bad))
+
+    for step in range(rounds):
+        used = [d for d in documents if d[-1] != "-"] if step == 0 and known else documents
+        sums = {key: 0.5 for key in likely}
+        total = [0.0, 0.0]
+        for d in used:
+            p = posterior(d)
+            total[0], total[1] = total[0] + 1 - p, total[1] + p
+            for j, v in enumerate(d):
+                sums[j, v, 0] += 1 - p
+                sums[j, v, 1] += p
+        before, old = prior, likely
+        prior = (total[1] + 0.5) / (len(used) + 1)
+        likely = {(j, v, c): sums[j, v, c] / sum(sums[j, w, c] for w in "bg-") for j, v, c in sums}
+        if abs(prior - before) < 1e-7 and max(abs(likely[k] - old[k]) for k in likely) < 1e-6:
+            break
+    return prior, likely, posterior
+
+
+@pytest.mark.parametrize("labelled", [0.0, 0.1])
+def test_em_on_counts_equals_em_on_documents(labelled):
+    source = random.Random(6)
+    documents = []
+    for _ in range(1500):
+        bad = source.random() < 0.25
+        votes = "".join("b" if source.random() < r[not bad] else "-" for r in ((0.8, 0.05), (0.6, 0.02), (0.4, 0.1)))
+        documents.append(votes + (("b" if bad else "g") if source.random() < labelled else "-"))
+    model = weak_labels.fit_weak_labels(Counter(documents))
+    prior, likely, posterior = plain_em(documents)
+    assert model.prior == pytest.approx(prior, abs=1e-6)
+    for (j, v, c), p in likely.items():
+        assert model.likely[j, "bg-".index(v), c] == pytest.approx(p, abs=1e-5)
+    for votes in set(documents):
+        assert model.posterior(votes) == pytest.approx(posterior(votes), abs=1e-4)
+
+
+def test_scorer_equals_a_plain_logistic_model():
+    source = random.Random(7)
+    rows, labels = [], []
+    for _ in range(200):
+        bad = source.random() < 0.4
+        rows.append(np.array(sorted({*source.sample(range(20, 60), 5), *([3, 4] if bad else [5])})))
+        labels.append(0.97 if bad else 0.02)
+    scorer = weak_labels.fit_scorer(rows, np.array(labels))
+    # What is informative, by the definition of G².
+    used = set()
+    for f in {int(x) for row in rows for x in row}:
+        def g(n, k):
+            p = min(max(k / max(n, 1e-9), 1e-9), 1 - 1e-9)
+            return k * math.log(p) + (n - k) * math.log(1 - p)
+
+        have = [y for row, y in zip(rows, labels) if f in row]
+        total, mine = sum(labels), sum(have)
+        gain = 2 * (g(len(have), mine) + g(len(rows) - len(have), total - mine) - g(len(rows), total))
+        if len(have) >= weak_labels.LEAST_DOCS and gain >= weak_labels.LEAST_GAIN:
+            used.add(f)
+    assert {3, 4, 5} <= used
+    base = sum(labels) / len(labels)
+    bias, weights, seen, seen_bias = math.log(base / (1 - base)), Counter(), {f: 1e-2 for f in used}, 1e-2
+    order = np.random.default_rng(0)
+    for _ in range(weak_labels.EPOCHS):
+        for i in order.permutation(len(rows)).tolist():
+            own = [f for f in rows[i].tolist() if f in used]
+            error = 1 / (1 + math.exp(-(bias + sum(weights[f] for f in own)))) - labels[i]
+            for f in own:
+                step = error + weak_labels.SHRINK * weights[f]
+                seen[f] += step * step
+                weights[f] -= weak_labels.RATE * step / math.sqrt(seen[f])
+            seen_bias += error * error
+            bias -= weak_labels.RATE * error / math.sqrt(seen_bias)
+    assert set(np.flatnonzero(scorer.weights).tolist()) <= used
+    for row in rows:
+        plain = 1 / (1 + math.exp(-(bias + sum(weights[f] for f in row.tolist()))))
+        assert scorer.score(row) == pytest.approx(plain, abs=1e-9)
+
+
 def test_held_out_labels(spark):
     """Scores of documents whose labels the fit did not see."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))

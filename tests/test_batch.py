@@ -13,9 +13,9 @@ from wayfare import registry, schemas
 from wayfare.fixtures import fixture
 from wayfare.functions import moment
 from wayfare.operators import extract, marts, staging
-from wayfare.plans import checks
+from wayfare.plans import batch, checks
 from wayfare.plans.batch import Sources, Warehouse, run_batch, run_manual_load, warehouse_counts
-from wayfare.session import shared_dir
+from wayfare.session import configure, shared_dir
 from wayfare.sources import targets
 from wayfare.sources.targets import ParquetTable
 from wayfare.sources.versions import VersionedTable
@@ -187,6 +187,33 @@ def test_a_run_leaves_nothing_in_the_shared_folder(spark, sources, tmp_path):
     assert spark.table("mart_stg_payments").count() > 0
 
 
+def test_every_job_sizes_its_shuffles_by_the_input(spark, sources, monkeypatch):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    seen = []
+
+    def sized(session, input_bytes=0):
+        seen.append(input_bytes)
+        return session
+
+    warehouse = Warehouse.at(shared_dir(spark))
+    run_batch(spark, sources, warehouse, AS_OF, lookback_hours=None)
+    for module in (batch, checks):
+        monkeypatch.setattr(module, "planned_bytes", lambda *_: 100 << 40)
+        monkeypatch.setattr(module, "configure", sized)
+    run_manual_load(spark, sources, warehouse)
+    warehouse_counts(spark, warehouse)
+    checks.run_reports(spark, warehouse)
+    run_batch(spark, sources, warehouse, AS_OF)
+    assert seen == [100 << 40] * 4
+    monkeypatch.undo()
+    before = spark.conf.get(initial, None)
+    try:
+        assert int(configure(spark, 100 << 40).conf.get(initial)) == 409_600
+    finally:
+        spark.conf.unset(initial) if before is None else spark.conf.set(initial, before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_a_failed_run_is_logged(spark, sources):
     warehouse = Warehouse.at(shared_dir(spark))
     broken = Sources(sources.trips.drop("base_fare"), sources.drivers, sources.zones, sources.payments)

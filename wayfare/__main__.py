@@ -33,7 +33,7 @@ from wayfare import schemas
 from wayfare.plans import batch, checks, stream
 from wayfare.session import configure, keep_state_on_disk
 from wayfare.sources import readers
-from wayfare.streaming import compaction
+from wayfare.streaming import compaction, progress
 
 
 def open_table(spark: SparkSession, spec: dict, schema: StructType) -> DataFrame:
@@ -112,10 +112,11 @@ def main(given: list[str] | None = None) -> None:
         records = readers.stream_broker(
             spark, target["servers"], target["topic"], args.starting, args.records_per_trigger
         )
-        stream.run_stream(
+        query = stream.run_stream(
             records, target["log"], target["checkpoint"], args.late_tolerance,
             state_partitions=args.state_partitions,
-        ).awaitTermination()
+        )
+        progress.follow(spark, query, target.get("progress", f"{target['log']}_progress"))
     elif args.job == "fold":
         before = as_of.date() - timedelta(days=args.open_days)
         print(*compaction.fold_closed_days(spark, config["stream"]["log"], before))

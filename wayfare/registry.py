@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DecimalType, TimestampType
 from pyspark.sql.window import Window
 
@@ -27,7 +28,7 @@ from wayfare.plans.stream import run_stream
 from wayfare.session import shared_dir
 from wayfare.sources import readers, targets
 from wayfare.sources.targets import ParquetTable
-from wayfare.streaming import sinks, windows
+from wayfare.streaming import progress, sinks, windows
 from wayfare.streaming.compaction import compacted_log, fold_closed_days, live_zones, newest_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -794,11 +795,16 @@ class _Arrivals:
             self.wave(second_wave, in_second, late_tolerance)
         return sinks.read_window_log(self.spark, self.log)
 
-    def wave(self, second_wave: bool, in_second: str, late_tolerance: str | None = None) -> None:
+    def start(
+        self, second_wave: bool, in_second: str, late_tolerance: str | None = None
+    ) -> StreamingQuery:
         self.land(second_wave, in_second)
-        run_stream(
+        return run_stream(
             self.stream(), self.log, self.checkpoint, late_tolerance, trigger_seconds=None
-        ).awaitTermination()
+        )
+
+    def wave(self, second_wave: bool, in_second: str, late_tolerance: str | None = None) -> None:
+        self.start(second_wave, in_second, late_tolerance).awaitTermination()
 
 
 # Which events arrive in the second wave; all others arrive in the first.
@@ -842,6 +848,26 @@ def stream_late_data(fx: Fixture) -> DataFrame:
     return windows.newest_versions(log).drop("processed_at")
 
 
+@query(f"""
+SELECT (SELECT COUNT(*) FROM (
+    SELECT DISTINCT TIME_BUCKET(INTERVAL 5 MINUTE, event_time), zone_id FROM trip_events
+    WHERE event_id % 10 = 3 AND event_type = 'trip_completed' AND event_time IS NOT NULL
+      AND TIME_BUCKET(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE <= (
+        SELECT DATE_TRUNC('millisecond', MAX(event_time)) - INTERVAL {LATE_TOLERANCE} FROM trip_events
+        WHERE event_id % 10 <> 3 AND event_type = 'trip_completed'))) AS late_groups,
+  (SELECT COUNT(*) FROM trip_events) AS input_rows""")
+def stream_late_loss(fx: Fixture) -> DataFrame:
+    """What `stream_late_data` loses: groups of late events, by window and zone."""
+    arrivals = _Arrivals(fx)
+    stored = shared_dir(fx.spark)
+    for second_wave in (False, True):
+        query = arrivals.start(second_wave, EVERY_TENTH, LATE_TOLERANCE)
+        progress.follow(fx.spark, query, stored)
+    return progress.read(fx.spark, stored).agg(
+        F.sum("late_groups").alias("late_groups"), F.sum("input_rows").alias("input_rows")
+    )
+
+
 @query(f"SELECT {_WINDOW} FROM zone_log")
 def stream_new_checkpoint(fx: Fixture) -> DataFrame:
     """Half of the events under one checkpoint, then all of them under a new one, same log."""

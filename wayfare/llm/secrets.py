@@ -204,9 +204,10 @@ def redact(docs: DataFrame, mark: str = "[secret]", **options: object) -> DataFr
     """
     numbered = whole_rows(docs)
     read = numbered.select("_doc.doc_id", "_doc.text", "_doc.source", ROW)
-    new = materialise(_cut_out(read, _islands(_to_replace(read, **options)), mark))
-    text = F.coalesce("_new", "_doc.text")
-    return numbered.join(new, ROW, "left").select(*fields_of(numbered, {"text": text}))
+    cuts = materialise(_cuts(_islands(_to_replace(read, **options))))
+    text = F.col("_doc.text")
+    new = F.when(F.col("_cuts").isNull(), text).otherwise(_without(text, F.col("_cuts"), mark))
+    return numbered.join(cuts, ROW, "left").select(*fields_of(numbered, {"text": new}))
 
 
 def _to_replace(docs: DataFrame, **options: object) -> DataFrame:
@@ -225,46 +226,44 @@ def _islands(spans: DataFrame) -> DataFrame:
     return marked.groupBy(ROW, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
 
 
-def _cut_out(docs: DataFrame, islands: DataFrame, mark: str) -> DataFrame:
-    """Row id and new text of the rows that have islands.
-
-    Texts are cut into blocks of BLOCK code points, each of which has its own part of the
-    islands, so that no place is looked for from the start of a long text.
-    """
+def _cuts(islands: DataFrame) -> DataFrame:
+    """Row id and _cuts: for each block of BLOCK code points with islands, its number and its parts of them."""
     first = F.floor(F.col("start") / BLOCK).cast("long")
     last = F.floor((F.col("end") - 1) / BLOCK).cast("long")
-    cut = islands.select(ROW, "start", "end", F.explode(F.sequence(first, last)).alias("_block"))
-    low = F.col("_block") * BLOCK
-    parts = cut.groupBy(ROW, "_block").agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    (F.greatest("start", low) - low).cast("int").alias("from"),
-                    F.least(F.col("end") - low, F.lit(BLOCK)).cast("int").alias("to"),
-                    (F.col("start") >= low).alias("opens"),
-                )
-            )
-        ).alias("_parts")
-    )
-    blocks = docs.join(islands.select(ROW).distinct(), ROW, "left_semi").select(
-        ROW, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))).alias("_at", "_said")
+    cut = islands.select(ROW, "start", "end", F.explode(F.sequence(first, last)).alias("block"))
+    low = F.col("block") * BLOCK
+    part = F.struct(
+        (F.greatest("start", low) - low).cast("int").alias("from"),
+        F.least(F.col("end") - low, F.lit(BLOCK)).cast("int").alias("to"),
+        (F.col("start") >= low).alias("opens"),
     )
-    said = F.col("_said")
+    parts = cut.groupBy(ROW, "block").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    return parts.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("block", "parts"))).alias("_cuts"))
 
-    def step(state: Column, part: Column) -> Column:
-        plain = F.substring(said, state["at"] + 1, part["from"] - state["at"])
-        shown = F.when(part["opens"], F.lit(mark)).otherwise("")
-        return F.struct(part["to"].alias("at"), F.concat(state["out"], plain, shown).alias("out"))
 
+def _without(text: Column, cuts: Column, mark: str) -> Column:
+    """The text with `mark` for each island.
+
+    It is cut into blocks, so that no place is looked for from the start of a long text.
+    """
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = F.aggregate(
-        "_parts", start, step, lambda s: F.concat(s["out"], F.substring(said, s["at"] + 1, F.length(said)))
-    )
-    new = blocks.withColumn("_block", F.col("_at").cast("long")).join(parts, [ROW, "_block"], "left").select(
-        ROW, F.struct("_at", F.when(F.col("_parts").isNull(), said).otherwise(rest).alias("s")).alias("_piece")
-    )
-    pieces = F.array_sort(F.collect_list("_piece"))
-    return new.groupBy(ROW).agg(F.array_join(F.transform(pieces, lambda p: p["s"]), "").alias("_new"))
+
+    def replaced(said: Column, parts: Column) -> Column:
+        def step(state: Column, part: Column) -> Column:
+            plain = F.substring(said, state["at"] + 1, part["from"] - state["at"])
+            shown = F.when(part["opens"], F.lit(mark)).otherwise("")
+            return F.struct(part["to"].alias("at"), F.concat(state["out"], plain, shown).alias("out"))
+
+        return F.aggregate(
+            parts, start, step, lambda s: F.concat(s["out"], F.substring(said, s["at"] + 1, F.length(said)))
+        )
+
+    def block(said: Column, number: Column) -> Column:
+        parts = F.get(F.filter(cuts, lambda cut: cut["block"] == number), F.lit(0))["parts"]
+        return F.when(parts.isNull(), said).otherwise(replaced(said, parts))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.array_join(F.transform(blocks, block), "")
 
 
 def _sql_matches(kind: str, pattern: str, group: int = 0) -> str:

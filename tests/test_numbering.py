@@ -1,10 +1,13 @@
 """Row numbers and joins under repeated, sparse, missing and identical keys."""
 
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from wayfare import session
 from wayfare.operators import joins, numbering
 
 SMALL = {"row_limit": 50, "bits": 3}
@@ -121,6 +124,69 @@ def test_numbered_left_join(spark, sides, limits):
     assert_numbered(joined, expected, "key")
 
 
+def tied_sides(spark):
+    """A key with many rows on both sides, ties and identical rows on either, missing values."""
+    key = "CASE WHEN id % 3 = 0 THEN 10 WHEN id % 3 = 1 THEN id END"
+    sides = [(600, "l", key), (300, "r", key.replace("END", "ELSE -id END"))]
+    return [
+        spark.range(rows).select(
+            F.expr(by).alias("key"), F.expr("NULLIF(id % 4, 1)").alias(f"{side}1"),
+            F.expr("NULLIF(id DIV 7 % 5, 2)").alias(f"{side}2"), F.lit(side).alias(f"{side}3"),
+        )
+        for rows, side, by in sides
+    ]
+
+
+TIES = [
+    (), ("l1", "l2", "r1", "r2"), ("r1", "l1"), ("l1", "r1", "l2", "r2"), ("r2", "r1", "l2", "l1"),
+]
+
+
+@pytest.mark.parametrize("ties", TIES, ids="-".join)
+def test_numbers_of_joined_rows_are_those_of_a_plain_window(spark, ties):
+    left, right = tied_sides(spark)
+    plain = Window.orderBy(F.asc_nulls_last("key"), *ties)
+    expected = left.join(right, "key", "left").withColumn("sk", F.row_number().over(plain))
+    joined = numbering.numbered_left_join(left, right, "key", "sk", ties, **SMALL_CELLS)
+    assert joined.columns == ["key", "l1", "l2", "l3", "r1", "r2", "r3", "sk"]
+    assert rows_of(joined.select("sk", "key", *ties)) == rows_of(expected.select("sk", "key", *ties))
+    assert_numbered(joined, expected.drop("sk"), "key")
+
+
+def test_rows_joined_in_cells_are_not_written_to_be_numbered(spark, monkeypatch):
+    """Only sides and counts are: a key with n and m rows yields n times m."""
+    written = []
+
+    def noted(df):
+        stored = session.materialise(df)
+        written.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(numbering, "materialise", noted)
+    monkeypatch.setattr(joins, "materialise", noted)
+    left, right = two_sides(spark, *SIDES["hot on both"])
+    joined = numbering.numbered_left_join(left, right, "key", "sk", ("l", "r"), **SMALL_CELLS)
+    assert joined.count() > 20_000 and 0 < max(written) <= 600
+
+
+def test_cells_of_a_key_are_dealt_apart_without_broadcasts(spark, monkeypatch):
+    """Sides already hashed by the key alone must not stay so."""
+    for module in (numbering, joins):
+        monkeypatch.setattr(module, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(F, "broadcast", lambda df: df)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        left, right = two_sides(spark, *SIDES["hot on both"])
+        joined = numbering.numbered_left_join(left, right, "key", "sk", ("l", "r"), **SMALL_CELLS)
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"hashpartitioning\(key#\d+L?, _i#\d+L?, _j#\d+L?,", text)) == 2
+        assert_numbered(joined, left.join(right, "key", "left"), "key")
+    finally:
+        spark.conf.set(threshold, before)
+
+
 @pytest.mark.parametrize("limit", [joins.ROW_LIMIT, 50])
 @pytest.mark.parametrize("sides", SIDES)
 def test_left_join(spark, sides, limit):

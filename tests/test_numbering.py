@@ -187,6 +187,48 @@ def test_cells_of_a_key_are_dealt_apart_without_broadcasts(spark, monkeypatch):
         spark.conf.set(threshold, before)
 
 
+def test_cells_copy_rows_to_a_bound_however_small_they_are(spark):
+    left, right = (
+        joins.with_slots(spark.range(rows).select(F.lit(7).alias("key"), F.col("id").alias(own)), slot)
+        for rows, own, slot in ((400, "l", joins.LEFT_SLOT), (300, "r", joins.RIGHT_SLOT))
+    )
+    sides = joins.cell_sides(left, right, "key", joins.cell_grid(left, right, "key", cell_rows=1))
+    assert sum(side.count() for side in sides) <= 2 * (joins.COPIES + 1) * 400
+    pairs = joins.join_cells(*sides, "key").select("l", "r").distinct()
+    assert pairs.count() == 400 * 300
+
+
+def test_a_small_limit_writes_only_rows_next_to_the_repeated_key(spark, monkeypatch):
+    """Buckets of keys that do not repeat are within the limit, however small it is."""
+    written = []
+
+    def noted(df):
+        stored = session.materialise(df)
+        written.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(numbering, "materialise", noted)
+    monkeypatch.setattr(joins, "materialise", noted)
+    left, right = (
+        spark.range(20_000).select(
+            F.expr("CASE WHEN id % 50 = 0 THEN 50 ELSE id END").alias("key"), F.col("id").alias(own)
+        )
+        for own in ("l", "r")
+    )
+    joined = numbering.numbered_left_join(left, right, "key", "sk", ("l", "r"), row_limit=300)
+    assert 400 <= max(written) <= 400 + 256
+    assert_numbered(joined, left.join(right, "key", "left"), "key")
+
+
+@pytest.mark.parametrize("bits", [0, 3, 8, joins.BUCKET_BITS])
+@pytest.mark.parametrize("keys", ["negative and sparse", "wide gaps", "a third is missing"])
+def test_levels_fit_narrow_buckets(spark, monkeypatch, keys, bits):
+    assert 64 - bits - sum(numbering._levels(bits)) <= 18
+    monkeypatch.setattr(numbering, "_ONE_WINDOW_ROWS", 0)
+    df = spark.range(1000).select(F.expr(KEYS[keys]).alias("key"), (F.col("id") % 7).alias("v"))
+    assert_numbered(numbering.surrogate_key(df, "key", "sk", ("v",), bits=bits), df, "key")
+
+
 @pytest.mark.parametrize("limit", [joins.ROW_LIMIT, 50])
 @pytest.mark.parametrize("sides", SIDES)
 def test_left_join(spark, sides, limit):
